@@ -1,0 +1,59 @@
+"""Compare a Spark result with the SQL result of an independent engine, value by value, in any row order."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+from datetime import date, datetime
+from decimal import Decimal
+
+import duckdb
+
+from conftest import TABLES
+
+
+def duck(sf_dir: str):
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return connection
+
+
+def plain(value):
+    if isinstance(value, bool) or value is None or isinstance(value, (str, int)):
+        return value
+    if isinstance(value, Decimal):
+        return float(value)
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else value
+    if isinstance(value, (datetime, date)):
+        return value.isoformat()
+    raise TypeError(f"no comparison for {type(value)}")
+
+
+# Families of column types that the two engines name differently.
+FAMILIES = {
+    "bigint": "int64", "int": "int32", "double": "float", "string": "text", "timestamp_ntz": "moment",
+    "boolean": "bool", "date": "date",
+    "BIGINT": "int64", "INTEGER": "int32", "DOUBLE": "float", "VARCHAR": "text", "TIMESTAMP": "moment",
+    "BOOLEAN": "bool", "DATE": "date",
+}
+
+
+def compare(spark_df, connection, sql: str) -> tuple[int, list]:
+    """(row count, differences); an empty list means equal columns, types and values."""
+    result = connection.execute(sql)
+    theirs_types = {d[0]: FAMILIES.get(str(d[1]), str(d[1])) for d in result.description}
+    ours_types = {f.name: FAMILIES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in spark_df.schema}
+    problems = []
+    if ours_types != theirs_types:
+        problems.append(("types", sorted(set(ours_types.items()) ^ set(theirs_types.items()))))
+    names = sorted(ours_types)
+    if names != sorted(theirs_types):
+        return -1, problems
+    at = [list(theirs_types).index(n) for n in names]
+    theirs = Counter(tuple(plain(row[i]) for i in at) for row in result.fetchall())
+    ours = Counter(tuple(plain(row[n]) for n in names) for row in spark_df.collect())
+    if ours != theirs:
+        problems.append(("ours only", list((ours - theirs).items())[:3], "theirs only", list((theirs - ours).items())[:3]))
+    return sum(ours.values()), problems
