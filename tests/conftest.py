@@ -23,6 +23,7 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

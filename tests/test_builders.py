@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tillworks.operators import builders
+
+NAMES = ["Ann Lee", "Prince", "Ann Lee", None]
+
+
+def catalog(spark, listings=40):
+    return spark.range(listings).select(
+        F.concat(F.lit("item "), F.col("id") % 25).alias("product_name"),
+        F.lit("home").alias("category"),
+        F.when(F.col("id") % 25 < 10, "Deals").otherwise("Toys").alias("type"),
+        F.lit(10).cast("bigint").alias("actual_price"),
+        F.lit(None).cast("bigint").alias("discount_price"),
+        F.lit(4.0).alias("ratings"),
+        F.lit(5).cast("bigint").alias("no_of_ratings"),
+        F.concat(F.lit("https://l/"), "id").alias("link"),
+        F.lit("https://i/1").alias("image"),
+    )
+
+
+def tables(spark):
+    listed = catalog(spark)
+    numbered = builders.number_products(listed)
+    customer = builders.build_customer(listed, spark.createDataFrame([(n,) for n in NAMES], "name STRING"))
+    cities = spark.createDataFrame([("Reno", "Nevada"), ("Boise", "Idaho"), ("Reno", "Nevada")], "city STRING, state STRING")
+    address = builders.build_address(cities)
+    return listed, numbered, customer, address
+
+
+def test_ids_are_dense_and_shared(spark):
+    listed, numbered, customer, address = tables(spark)
+    inventory = builders.build_inventory(numbered).collect()
+    product = builders.build_product(listed, numbered).collect()
+    orders = builders.build_orders(numbered, customer, address).collect()
+    assert sorted(r.id for r in inventory) == list(range(1, 26))
+    assert {r.id for r in product} == {r.id for r in orders} == set(range(1, 26))
+    assert len(product) == 40
+    assert all(r.inventory_id == r.order_id == r.id for r in product)
+    assert all(50 <= r.inv_quantity <= 9999 and 50 <= r.quantity_sold <= 9999 for r in inventory)
+
+
+def test_orders_refer_to_existing_rows(spark):
+    _, numbered, customer, address = tables(spark)
+    orders = builders.build_orders(numbered, customer, address)
+    rows = orders.collect()
+    assert {r.customer_id for r in rows} <= {r.id for r in customer.collect()}
+    assert {r.city_id for r in rows} <= {1, 2}
+    assert all(1 <= (r.ship_date.date() - r.order_date.date()).days <= 7 for r in rows)
+    assert all(r.quarter == (r.timestamp.month - 1) // 3 + 1 for r in rows)
+    assert len({r.timeuuid for r in rows}) == 25
+    assert sorted(rows) == sorted(builders.build_orders(numbered, customer, address).collect())
+
+
+def test_customers_are_distinct_and_numbered(spark):
+    _, _, customer, _ = tables(spark)
+    rows = customer.orderBy("id").collect()
+    assert [r.id for r in rows] == list(range(1, len(rows) + 1))
+    assert {r.customer_name for r in rows} == {"Ann Lee", "Prince"}
+    assert len({r[1:] for r in map(tuple, rows)}) == len(rows)
+    assert all(r.email.startswith(r.customer_name.split(" ")[0] + "_") for r in rows)
+    assert [r.customer_name for r in rows] == sorted(r.customer_name for r in rows)
+
+
+def test_addresses_are_one_row_per_city(spark):
+    *_, address = tables(spark)
+    assert sorted(map(tuple, address.collect())) == [
+        (1, "Boise", "Idaho", "United States"), (2, "Reno", "Nevada", "United States"),
+    ]
+
+
+def pairs(frame):
+    return sorted(map(tuple, frame.collect()))
+
+
+def test_customer_address_relation(spark, monkeypatch):
+    customer, address = spark.range(1, 38), spark.range(100, 111)
+    expected = [(c, a) for c in range(1, 38) for a in range(100, 111)]
+    assert pairs(builders.build_customer_address(customer.union(customer), address)) == expected
+    monkeypatch.setattr(builders, "ADDRESS_ARRAY_LIMIT", 3)
+    monkeypatch.setattr(builders, "PAIR_BLOCK_ROWS", 4)
+    blocked = builders.build_customer_address(customer, address)
+    assert pairs(blocked) == expected
+    plan = blocked._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_customer_address_relation_of_nothing(spark):
+    assert builders.build_customer_address(spark.range(5), spark.range(0)).isEmpty()
+    assert builders.build_customer_address(spark.range(0), spark.range(5)).isEmpty()

@@ -1,0 +1,105 @@
+"""From listing files to warehouse and mart, over file topics."""
+
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+
+from tillworks.catalog import LAKE, MART, WAREHOUSE
+from tillworks.operators.reports import revenue_report
+from tillworks.plans import jobs
+from tillworks.session import fresh_dir
+from tillworks.sources.endpoints import file_topic, parquet_table
+from tillworks.sources.lake import read_lake
+
+HEADER = "name,main_category,sub_category,image,link,ratings,no_of_ratings,discount_price,actual_price"
+DAY = date(2024, 7, 1)
+
+
+@pytest.fixture(scope="module")
+def inputs(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("inputs")
+    lines = [
+        f'"Item {i}, small",home,Deals,https://i/{i},https://l/{i},4.{i % 10},"1,{i:03d}",₹{50 + i},"₹1,{i:03d}.50"'
+        for i in range(30)
+    ]
+    (folder / "home.csv").write_text("\n".join([HEADER, *lines]) + "\n", encoding="utf-8")
+    (folder / "books.csv").write_text(
+        f"{HEADER}\nItem 3,books,Books,https://i/b,https://l/b,,,,₹99\nItem 4,books,Books,http://i/c,https://l/c,,,,₹99\n",
+        encoding="utf-8",
+    )
+    (folder / "names.txt").write_text("name\nAnn Lee\nPrince\nBo Ek\n")
+    (folder / "cities.txt").write_text('"City","State","Population"\n"Reno","Nevada","264,165"\n"Boise","Idaho","1"\n')
+    return folder
+
+
+def ingest(spark, inputs, lake, topics, batch, **options):
+    return jobs.ingest(
+        spark, f"{inputs}/*.csv", f"{inputs}/names.txt", f"{inputs}/cities.txt", lake,
+        lambda name: file_topic(f"{topics}/{name}"), DAY, batch, **options,
+    )
+
+
+@pytest.fixture(scope="module")
+def loaded(spark, inputs):
+    lake, topics = fresh_dir(spark, "lake"), fresh_dir(spark, "topics")
+    assert ingest(spark, inputs, lake, topics, "w1")
+    return lake, topics
+
+
+def test_lake_holds_all_source_tables(spark, loaded):
+    lake, _ = loaded
+    counts = {name: read_lake(spark, f"{lake}/{name}", t.schema).count() for name, t in LAKE.items()}
+    assert counts["product"] == counts["inventory"] == counts["orderr"] == 32
+    assert counts["address"] == 2
+    assert counts["customerAddress"] == 2 * counts["customer"]
+    product = read_lake(spark, f"{lake}/product", LAKE["product"].schema)
+    first = product.where("product_name = 'Item 7, small'").first()
+    assert (first.actual_price, first.discount_price, first.ratings, first.no_of_ratings) == (1008, 57, 4.7, 1007)
+
+
+def test_repeated_load_changes_nothing(spark, inputs, loaded):
+    lake, topics = loaded
+    read = lambda: {n: sorted(read_lake(spark, f"{lake}/{n}", t.schema).collect(), key=str) for n, t in LAKE.items()}
+    before = read()
+    assert not ingest(spark, inputs, lake, topics, "w2", only_if_new=True)
+    assert ingest(spark, inputs, lake, topics, "w1")
+    assert read() == before
+
+
+def test_warehouse_and_mart(spark, loaded):
+    lake, topics = loaded
+    wide = jobs.load_wide(spark, lake, month=7)
+    assert wide.count() == 31  # one listing has an insecure image
+    out = fresh_dir(spark, "out")
+    topic_of = lambda name: file_topic(f"{topics}/{name}")
+    jobs.build_warehouse(wide, topic_of, jobs.lake_sink(out, DAY, "w1"), "w1")
+    jobs.build_mart(wide, topic_of, jobs.lake_sink(out, DAY, "w1"), "w1")
+    stored = {n: read_lake(spark, f"{out}/{n}", t.schema) for n, t in {**WAREHOUSE, **MART}.items()}
+    assert sorted(r.id for r in stored["factOrder"].collect()) == list(range(1, 32))
+    assert stored["dimProduct"].count() == stored["dimDate"].count() == 31
+    for name, table in {**WAREHOUSE, **MART}.items():
+        assert stored[name].count() == stored[name].select(*table.key).distinct().count(), name
+    assert sorted(stored["revenue_table"].collect()) == sorted(revenue_report(wide).collect())
+    delivered = wide.where("delivery_status = 'Delivered'")
+    expected = delivered.selectExpr(
+        "sum(bigint(if(discount_price = 0, actual_price, discount_price)) * quantity_sold)"
+    ).first()[0]
+    assert stored["revenue_table"].selectExpr("sum(income)").first()[0] == expected
+    assert sum(r.total_order for r in stored["order_table"].collect()) == 31
+
+
+def test_months_without_loads_are_empty(spark, loaded):
+    lake, _ = loaded
+    assert jobs.load_wide(spark, lake, month=8).isEmpty()
+
+
+def test_any_data_source_can_be_the_sink(spark, loaded):
+    lake, topics = loaded
+    out = fresh_dir(spark, "sink")
+    sink = jobs.endpoint_sink(lambda name: parquet_table(f"{out}/{name}"), DAY, "w1")
+    jobs.build_mart(jobs.load_wide(spark, lake), lambda name: file_topic(f"{topics}/m-{name}"), sink, "w1")
+    stored = spark.read.parquet(f"{out}/customer_table")
+    assert {"month", "year", "load_month", "load_year"} <= set(stored.columns)
+    assert stored.selectExpr("sum(total_orders)").first()[0] == 31

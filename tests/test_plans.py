@@ -1,0 +1,79 @@
+"""What the physical plans must and must not contain."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from tillworks.operators import reports
+from tillworks.operators.wide import attach_products, quality_filter
+from tillworks.plans import adapter
+
+SF_DIR = "/root/testdata/sf0.001"
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
+# Sorts and numbering may bring one row per file, or the ten rows of a top-k, together.
+GATHERS = {"surrogate_key", "fact_order", "build_inventory", "build_product", "build_customer", "build_address", "build_order"}
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_no_python_workers_and_no_pair_joins(spark, name):
+    plan = plan_of(contract.queries()[name](spark, SF_DIR))
+    assert not [node for node in FORBIDDEN if node in plan]
+    if name not in GATHERS:
+        main = plan.split("Subquery")[0]
+        assert "SinglePartition" not in main
+
+
+def test_reports_read_only_their_columns(spark):
+    plan = plan_of(reports.order_report(adapter.wide(spark, SF_DIR)))
+    assert "struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int,l_returnflag:string,l_linestatus:string>" in plan
+    assert "struct<c_custkey:bigint,c_nationkey:int>" in plan
+    assert "c_name" not in plan and "p_name" not in plan
+
+
+def test_reports_shuffle_partial_sums(spark):
+    for report in (reports.revenue_report, reports.order_report, reports.customer_report):
+        plan = plan_of(report(adapter.wide(spark, SF_DIR)))
+        assert "partial_" in plan and "SortAggregate" not in plan
+
+
+def test_quality_rules_reach_the_scan(spark, tmp_path):
+    adapter.product(spark, SF_DIR).write.parquet(f"{tmp_path}/product")
+    model = spark.read.parquet(f"{tmp_path}/product")
+    plan = plan_of(quality_filter(model))
+    for pushed in ("IsNotNull(image)", "StringStartsWith(link,https://)", "Not(EqualTo(actual_price,0))"):
+        assert pushed in plan
+
+
+@pytest.fixture
+def small_join_limits(spark):
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in limits}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_product_is_split(spark, small_join_limits):
+    """A third of all orders on one product: its partition is split, and no row is lost."""
+    orders = spark.range(60_000).repartition(8).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("product_id"),
+    )
+    product = spark.range(5000).select("id", F.col("id").alias("inventory_id"))
+    joined = attach_products(orders, product, spark.range(5000).withColumn("inv_quantity", F.lit(1)))
+    assert len(joined.collect()) == 60_000
+    assert "skew=true" in plan_of(joined)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -50,3 +50,13 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame computed once and read back from the shared folder.
+
+    Its consumers share one computation, and it survives the loss of executors.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

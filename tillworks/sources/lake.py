@@ -62,10 +62,21 @@ def read_lake(
     return rows if keep_stamps else rows.drop(*LOAD_STAMPS)
 
 
-def read_latest(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]) -> DataFrame:
-    """One row per key: that of the last load. A batch must not hold a key twice."""
-    rows = read_lake(spark, path, schema, keep_stamps=True)
-    return latest_by_key(rows, keys, LOAD_STAMPS).drop(*LOAD_STAMPS)
+def read_latest(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    keys: Sequence[str],
+    month: int | None = None,
+    batch: str | None = None,
+) -> DataFrame:
+    """One row per key: that of the last load (within one month or batch, if given).
+
+    Should a load hold a key twice, the greater row counts, so that every run gives the same result.
+    """
+    rows = read_lake(spark, path, schema, month=month, batch=batch, keep_stamps=True)
+    others = [c for c in schema.fieldNames() if c not in keys]
+    return latest_by_key(rows, keys, [*LOAD_STAMPS, *others]).drop(*LOAD_STAMPS)
 
 
 def upsert_table(
