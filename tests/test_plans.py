@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tillworks.operators import reports
-from tillworks.operators.wide import attach_products, quality_filter
+from tillworks.operators.builders import build_product, number_products
+from tillworks.operators.latest import latest_by_key
+from tillworks.operators.wide import attach_buyers, attach_products, quality_filter
 from tillworks.plans import adapter
+from tillworks.session import written
 
 SF_DIR = "/root/testdata/sf0.001"
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
@@ -67,13 +70,37 @@ def small_join_limits(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def hot_orders(spark, key):
+    """60,000 orders, a third of them on key 7."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000)
+    return spark.range(60_000).repartition(8).select(F.col("id").alias("order_id"), hot.alias(key))
+
+
 def test_hot_product_is_split(spark, small_join_limits):
-    """A third of all orders on one product: its partition is split, and no row is lost."""
-    orders = spark.range(60_000).repartition(8).select(
-        F.col("id").alias("order_id"),
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("product_id"),
-    )
     product = spark.range(5000).select("id", F.col("id").alias("inventory_id"))
-    joined = attach_products(orders, product, spark.range(5000).withColumn("inv_quantity", F.lit(1)))
+    joined = attach_products(hot_orders(spark, "product_id"), product, spark.range(5000).withColumn("n", F.lit(1)))
+    assert len(joined.collect()) == 60_000
+    assert "skew=true" in plan_of(joined)
+
+
+def test_hot_buyer_is_split(spark, small_join_limits):
+    """Also where the buyers are the latest of several loads."""
+    loads = spark.range(5000).select("id", (F.col("id") % 9).alias("city_id"), F.explode(F.array(F.lit(1), F.lit(2))).alias("load"))
+    buyers = written(latest_by_key(loads, ["id"], ["load"]), "buyers")
+    joined = attach_buyers(hot_orders(spark, "customer_id"), buyers, spark.range(9))
     assert len(joined.collect()) == 60_000
     assert "skew=true" in plan_of(joined)
+
+
+def test_hot_triple_is_split(spark, small_join_limits):
+    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).cast("string")
+    catalog = spark.range(60_000).repartition(8).select(
+        hot.alias("product_name"), F.lit("c").alias("category"), F.lit("t").alias("type"),
+        *[F.lit(None).cast(kind).alias(name) for name, kind in (
+            ("actual_price", "bigint"), ("discount_price", "bigint"), ("ratings", "double"),
+            ("no_of_ratings", "bigint"), ("image", "string"))],
+        F.sha2(F.col("id").cast("string"), 256).alias("link"),
+    )
+    product = build_product(catalog, number_products(catalog))
+    assert len(product.collect()) == 60_000
+    assert "skew=true" in plan_of(product)

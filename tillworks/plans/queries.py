@@ -15,7 +15,7 @@ from ..operators import wide as wide_ops
 from ..operators.envelope import decode, encode
 from ..operators.latest import latest_by_key
 from ..operators.numbering import dense_ids
-from ..session import fresh_dir
+from ..session import fresh_dir, written
 from ..sources.endpoints import file_topic
 from ..sources.lake import read_lake, read_table, upsert_table, write_batch
 from ..sources.listings import read_listings, union_sources
@@ -108,11 +108,16 @@ def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def join_using_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each listing with the number and lowest price of its copies.
+
+    The aggregate is written first: read back, it enters the join through a shuffle of its own, which is what
+    lets AQE split the partition of a triple that holds a third of the listings.
+    """
     catalog = _catalog(spark, sf_dir)
     copies = catalog.groupBy(*catalog_clean.TRIPLE).agg(
         F.count(F.lit(1)).alias("copies"), F.min("actual_price").alias("lowest_price")
     )
-    return catalog.join(copies, list(catalog_clean.TRIPLE), "inner").select(
+    return catalog.join(written(copies, "copies"), list(catalog_clean.TRIPLE), "inner").select(
         "link", *catalog_clean.TRIPLE, "actual_price", "copies", "lowest_price"
     )
 
@@ -325,7 +330,8 @@ def scan_csv_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All listings written as CSV, one folder per category, and read back in one scan."""
     root = fresh_dir(spark, "listings")
     listings = adapter.listings(spark, sf_dir)
-    writer = listings.withColumn("folder", F.col("main_category")).write.partitionBy("folder")
+    foldered = listings.withColumn("folder", F.col("main_category"))
+    writer = foldered.hint("rebalance", "folder").write.partitionBy("folder")
     writer.option("header", True).option("escape", '"').csv(root)
     return read_listings(spark, f"{root}/*")
 

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..catalog import LOAD_DDL, LOAD_STAMPS
 from ..operators.latest import latest_by_key
-from ..session import fresh_dir, path_exists
+from ..session import fresh_dir, path_exists, written
 
 BUCKET = "key_bucket"
 
@@ -30,18 +30,29 @@ def stamp(df: DataFrame, loaded: date | Column, batch: str) -> DataFrame:
 
 
 def _replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
-    """Write the partitions ``df`` holds and no others.
+    """Write the partitions ``df`` holds and no others."""
+    writer = df.write.partitionBy(*partitions).option("partitionOverwriteMode", "dynamic")
+    writer.mode("overwrite").parquet(path)
 
-    The rebalance hint lets AQE gather each partition into files of the advisory size: small ones are merged,
-    and a load day that holds a third of the rows is written by many tasks.
+
+def _gathered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows brought together by partition value before a write into many partitions.
+
+    AQE cuts the gathered partitions to files of the advisory size: small ones are merged, and a value that
+    holds a third of the rows is written by many tasks.
     """
-    writer = df.hint("rebalance", *partitions).write.partitionBy(*partitions)
-    writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    return df.hint("rebalance", *partitions)
 
 
 def write_batch(df: DataFrame, path: str, loaded: date | Column, batch: str) -> None:
-    """Append one batch. Repeating a batch replaces its own partitions, so a retried job adds nothing twice."""
-    _replace_partitions(stamp(df, loaded, batch), path, LOAD_STAMPS)
+    """Append one batch. Repeating a batch replaces its own partitions, so a retried job adds nothing twice.
+
+    A run date makes a single partition, which every task writes to as it stands: no shuffle.
+    """
+    stamped = stamp(df, loaded, batch)
+    if isinstance(loaded, Column):
+        stamped = _gathered(stamped, LOAD_STAMPS)
+    _replace_partitions(stamped, path, LOAD_STAMPS)
 
 
 def read_lake(
@@ -94,11 +105,9 @@ def upsert_table(
         BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     )
     if not path_exists(spark, path):
-        _replace_partitions(bucketed, path, [BUCKET])
+        _replace_partitions(_gathered(bucketed, [BUCKET]), path, [BUCKET])
         return
-    fresh = fresh_dir(spark, "updates")
-    _replace_partitions(bucketed, fresh, [BUCKET])
-    incoming = spark.read.schema(bucketed.schema).parquet(fresh)
+    incoming = written(bucketed, "updates")
     # At most one row per bucket reaches the driver.
     touched = [row[BUCKET] for row in incoming.select(BUCKET).distinct().collect()]
     if not touched:
@@ -106,7 +115,8 @@ def upsert_table(
     stored = spark.read.schema(bucketed.schema).parquet(path).where(F.col(BUCKET).isin(touched))
     merged = latest_by_key(stored.unionByName(incoming), [*keys, BUCKET], order)
     staged = fresh_dir(spark, "merged")
-    _replace_partitions(merged, staged, [BUCKET])
+    _replace_partitions(_gathered(merged, [BUCKET]), staged, [BUCKET])
+    # The staged files lie apart by bucket already: a plain copy.
     _replace_partitions(spark.read.schema(bucketed.schema).parquet(staged), path, [BUCKET])
 
 
