@@ -57,3 +57,7 @@ def compare(spark_df, connection, sql: str) -> tuple[int, list]:
     if ours != theirs:
         problems.append(("ours only", list((ours - theirs).items())[:3], "theirs only", list((theirs - ours).items())[:3]))
     return sum(ours.values()), problems
+
+
+def plan_of(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
