@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from parity import plan_of
 from tillworks.operators.envelope import decode, encode, rejected
 from tillworks.operators.latest import latest_by_key
 from tillworks.session import fresh_dir, path_exists, shared_root
@@ -117,6 +118,12 @@ def test_rejected_messages(spark):
     assert sorted(r.value for r in rejected(messages, STOCK, "b").collect()) == ["not json", '{"year":1}']
 
 
+def test_messages_are_parsed_once(spark, path):
+    endpoints.file_topic(path).publish(encode(stock(spark, (1, 1, 1)), "a"))
+    plan = plan_of(decode(endpoints.file_topic(path).consume(spark), STOCK))
+    assert plan.count("from_json") == 1
+
+
 def test_file_topic_keeps_batches_apart(spark, path):
     topic = endpoints.file_topic(path)
     for _ in range(2):
