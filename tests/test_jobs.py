@@ -7,10 +7,11 @@ from datetime import date
 import pytest
 
 from tillworks.catalog import LAKE, MART, WAREHOUSE
+from tillworks.operators.envelope import encode
 from tillworks.operators.reports import revenue_report
 from tillworks.plans import jobs
 from tillworks.session import fresh_dir
-from tillworks.sources.endpoints import file_topic, parquet_table
+from tillworks.sources.endpoints import Topic, file_topic, parquet_table
 from tillworks.sources.lake import read_lake
 
 HEADER = "name,main_category,sub_category,image,link,ratings,no_of_ratings,discount_price,actual_price"
@@ -95,6 +96,24 @@ def test_months_without_loads_are_empty(spark, loaded):
     assert jobs.load_wide(spark, lake, month=8).isEmpty()
 
 
+def test_repeated_messages_and_failed_attempts_count_once(spark):
+    """A transport that delivers every message twice, and still holds a failed attempt at the same batch."""
+
+    class Repeating(Topic):
+        may_repeat = True
+
+        def consume(self, session, since_ms=None):
+            messages = super().consume(session, since_ms)
+            return messages.unionAll(messages)
+
+    topic = Repeating(parquet_table(fresh_dir(spark, "topic")))
+    table = LAKE["customerAddress"]
+    half = spark.createDataFrame([(1, 1)], table.schema)
+    full = spark.createDataFrame([(1, 1), (2, 1)], table.schema)
+    topic.publish(encode(half, "w1-failed"))
+    assert sorted(map(tuple, jobs.hop(full, table, lambda _: topic, "w1").collect())) == [(1, 1), (2, 1)]
+
+
 def test_any_data_source_can_be_the_sink(spark, loaded):
     lake, topics = loaded
     out = fresh_dir(spark, "sink")

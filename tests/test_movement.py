@@ -154,6 +154,9 @@ def test_kafka_options():
     assert endpoints.kafka_source_options(topic) == {
         "subscribe": "orders", "includeHeaders": "true", "kafka.bootstrap.servers": "host:9092", "minPartitions": "32",
     }
+    assert topic.may_repeat and not endpoints.file_topic("/t").may_repeat
+    assert endpoints.kafka_start(None) == {"startingOffsets": "earliest"}
+    assert endpoints.kafka_start(5)["startingTimestamp"] == "5"
 
 
 def test_relational_and_keyed_store_options():

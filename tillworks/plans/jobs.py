@@ -6,6 +6,8 @@ JDBC on a cluster, folders in tests.
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -21,15 +23,24 @@ from ..sources.endpoints import Endpoint, Topic
 from ..sources.lake import read_lake, read_latest, stamp, write_batch
 from ..sources.listings import read_cities, read_listings, read_names
 
+CLOCK_SLACK_MS = 3_600_000  # by how much clocks of executors and driver may differ
+
 TopicOf = Callable[[str], Topic]
 Sink = Callable[[Table, DataFrame], None]
 
 
 def hop(rows: DataFrame, table: Table, topics: TopicOf, batch: str) -> DataFrame:
-    """Publish one batch of a table and take it from the topic again, typed as declared."""
+    """Publish one batch of a table and take it from the topic again, typed as declared.
+
+    Each attempt at a batch sends under an id of its own, so one that failed half-way leaves nothing behind
+    for the next. Where the transport may repeat messages, exact copies are dropped.
+    """
     topic = topics(table.name)
-    topic.publish(encode(table.conform(rows), batch))
-    return decode(topic.consume(rows.sparkSession), table.schema, batch)
+    attempt = f"{batch}-{uuid.uuid4().hex}"
+    since_ms = int(time.time() * 1000) - CLOCK_SLACK_MS
+    topic.publish(encode(table.conform(rows), attempt))
+    received = decode(topic.consume(rows.sparkSession, since_ms), table.schema, attempt)
+    return received.distinct() if topic.may_repeat else received
 
 
 def lake_sink(root: str, loaded: date, batch: str) -> Sink:

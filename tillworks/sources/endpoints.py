@@ -73,11 +73,20 @@ class Topic:
         writer = messages.write.partitionBy("batch").option("partitionOverwriteMode", "dynamic")
         writer.mode("overwrite").format(self.endpoint.format).save(self.endpoint.path)
 
-    def consume(self, spark: SparkSession) -> DataFrame:
-        """Everything from the earliest to the latest message, as a bounded frame."""
+    @property
+    def may_repeat(self) -> bool:
+        """Kafka delivers at least once: a task that is tried again sends its rows again."""
+        return self.is_kafka
+
+    def consume(self, spark: SparkSession, since_ms: int | None = None) -> DataFrame:
+        """Everything up to the latest message as a bounded frame, from the earliest or from a moment on.
+
+        A moment (epoch milliseconds) spares the reader of one load the history of the topic; a file topic
+        prunes by batch instead.
+        """
         if self.is_kafka:
-            bounded = {"startingOffsets": "earliest", "endingOffsets": "latest", **kafka_source_options(self)}
-            return from_kafka_rows(spark.read.format("kafka").options(**bounded).load())
+            options = {"endingOffsets": "latest", **kafka_start(since_ms), **kafka_source_options(self)}
+            return from_kafka_rows(spark.read.format("kafka").options(**options).load())
         return spark.read.schema(MESSAGE_DDL).format(self.endpoint.format).load(self.endpoint.path)
 
     def stream(self, spark: SparkSession, **limits: str) -> DataFrame:
@@ -106,6 +115,13 @@ def kafka_source_options(topic: Topic) -> dict[str, str]:
     return {"subscribe": options.pop("topic"), "includeHeaders": "true", **options}
 
 
+def kafka_start(since_ms: int | None) -> dict[str, str]:
+    if since_ms is None:
+        return {"startingOffsets": "earliest"}
+    # A partition with nothing that new is read from its end.
+    return {"startingTimestamp": str(since_ms), "startingOffsetsByTimestampStrategy": "latest"}
+
+
 def to_kafka_rows(messages: DataFrame) -> DataFrame:
     header = F.struct(F.lit(BATCH_HEADER).alias("key"), F.col("batch").cast("binary").alias("value"))
     return messages.select("key", "value", F.array(header).alias("headers"))
