@@ -94,6 +94,8 @@ def test_warehouse_and_mart(spark, loaded):
 def test_months_without_loads_are_empty(spark, loaded):
     lake, _ = loaded
     assert jobs.load_wide(spark, lake, month=8).isEmpty()
+    assert jobs.load_wide(spark, lake, month=7, year=2023).isEmpty()
+    assert jobs.load_wide(spark, lake, year=2024, batch="w1").count() == 31
 
 
 def test_repeated_messages_and_failed_attempts_count_once(spark):

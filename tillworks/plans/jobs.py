@@ -88,16 +88,18 @@ def ingest(
 
 
 def load_wide(
-    spark: SparkSession, lake: str, month: int | None = None, batch: str | None = None
+    spark: SparkSession, lake: str, month: int | None = None, year: int | None = None, batch: str | None = None
 ) -> DataFrame:
-    """The wide sales table from the last write per key, of all loads or of one month's or batch's.
+    """The wide sales table from the last write per key, of all loads or of one month's, year's or batch's.
 
     It is computed once and written; all tables of a job derive from the written rows.
     """
 
     def table(name: str) -> DataFrame:
         declared = LAKE[name]
-        return read_latest(spark, f"{lake}/{name}", declared.schema, declared.key, month=month, batch=batch)
+        return read_latest(
+            spark, f"{lake}/{name}", declared.schema, declared.key, month=month, year=year, batch=batch
+        )
 
     # A buyer may hold a third of the orders. AQE splits such a join partition only between two shuffles, so
     # the buyers are written rather than joined in the partitioning of their aggregate.

@@ -79,13 +79,14 @@ def read_latest(
     schema: StructType,
     keys: Sequence[str],
     month: int | None = None,
+    year: int | None = None,
     batch: str | None = None,
 ) -> DataFrame:
-    """One row per key: that of the last load (within one month or batch, if given).
+    """One row per key: that of the last load (within one month, year or batch, if given).
 
     Should a load hold a key twice, the greater row counts, so that every run gives the same result.
     """
-    rows = read_lake(spark, path, schema, month=month, batch=batch, keep_stamps=True)
+    rows = read_lake(spark, path, schema, month=month, year=year, batch=batch, keep_stamps=True)
     others = [c for c in schema.fieldNames() if c not in keys]
     return latest_by_key(rows, keys, [*LOAD_STAMPS, *others]).drop(*LOAD_STAMPS)
 
@@ -96,7 +97,8 @@ def upsert_table(
     """Merge ``updates`` into a table that holds one row per key.
 
     The table is split by key hash. Only buckets the updates touch are read, and their merged rows are
-    completed in the shared folder before they replace the old ones, so no path is overwritten while read.
+    completed in the shared folder before they replace the old ones, so no path is overwritten while read. Should
+    the driver fail in between, repeating the call with the same updates gives the same table.
     Keys are unique within a table, hence its buckets are even whatever the updates' skew. ``buckets`` is
     fixed for the life of a table.
     """
