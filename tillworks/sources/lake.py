@@ -98,7 +98,7 @@ def upsert_table(
 
     The table is split by key hash. Only buckets the updates touch are read, and their merged rows are
     completed in the shared folder before they replace the old ones, so no path is overwritten while read. Should
-    the driver fail in between, repeating the call with the same updates gives the same table.
+    the driver itself fail during that swap, the complete new buckets are still in the shared folder.
     Keys are unique within a table, hence its buckets are even whatever the updates' skew. ``buckets`` is
     fixed for the life of a table.
     """
