@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,6 +33,13 @@ def test_price(spark, raw, decimal, digits):
     assert one(spark, raw, "STRING", *prices) == (decimal, digits)
 
 
+def test_prices_round_half_up_like_decimals(spark):
+    cents = [c * 7919 % 10_000_019 for c in range(2000)] + [50, 149, 150, 250, 99_999_950]
+    rows = [(f"₹{c // 100:,}.{c % 100:02d}", int((Decimal(c) / 100).quantize(Decimal(1), ROUND_HALF_UP))) for c in cents]
+    frame = spark.createDataFrame(rows, "v STRING, whole BIGINT")
+    assert frame.where(~text.clean_price(F.col("v")).eqNullSafe(F.col("whole"))).isEmpty()
+
+
 def test_unknown_price_mode():
     with pytest.raises(ValueError):
         text.clean_price(F.col("v"), "cents")

@@ -11,7 +11,7 @@ from ..session import fresh_dir
 def dense_ids(rows: DataFrame, *order: str, id_name: str = "id", partitions: int | None = None) -> DataFrame:
     """``row_number() over (order by …)`` as BIGINT, at any size.
 
-    One range shuffle writes the rows sorted, one file per range, to the shared folder. File names follow
+    One range shuffle writes the rows sorted, exactly one file per range, to the shared folder. File names follow
     the range order and Parquet knows each row's place in its file, so an id is (rows in the files before)
     + (place in file) + 1: no second shuffle of the rows, no window over them. The written table fixes the
     sampled range bounds, so a lost executor or a second action cannot renumber.
@@ -22,7 +22,7 @@ def dense_ids(rows: DataFrame, *order: str, id_name: str = "id", partitions: int
     keys = [*order, *[c for c in rows.columns if c not in order]]
     ranged = rows.repartitionByRange(partitions, *keys) if partitions else rows.repartitionByRange(*keys)
     path = fresh_dir(rows.sparkSession, "ranges")
-    ranged.sortWithinPartitions(*keys).write.parquet(path)
+    ranged.sortWithinPartitions(*keys).write.option("maxRecordsPerFile", 0).parquet(path)
 
     written = rows.sparkSession.read.schema(rows.schema).parquet(path)
     placed = written.select(
