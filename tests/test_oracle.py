@@ -6,8 +6,9 @@ import os
 
 import pytest
 
-import __spark_entry__ as contract
 from parity import compare, duck, plan_of
+from tillworks.plans.oracle import oracle_sql
+from tillworks.plans.queries import queries
 
 SF_DIR = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
 
@@ -25,13 +26,13 @@ def oracle():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(queries()) == set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_equals_sql(spark, oracle, name):
-    result = contract.queries()[name](spark, SF_DIR)
-    rows, problems = compare(result, oracle, contract.oracle_sql()[name])
+    result = queries()[name](spark, SF_DIR)
+    rows, problems = compare(result, oracle, oracle_sql()[name])
     assert not problems
     assert rows > 0
     plan = plan_of(result)
