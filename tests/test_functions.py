@@ -24,7 +24,11 @@ def one(spark, value, kind, *columns):
         ("₹807.49", 807, 80749),
         ("", None, None),
         ("free", None, None),
-        ("1.2.3", None, 123),
+        ("1.2.3", 1, 123),
+        ("Rs.1,200", 1200, 1200),
+        ("from 99 to 120", 99, 99120),
+        ("₹123,456,789,012,345.5", 123456789012346, 1234567890123455),
+        ("9" * 25, None, None),
         (None, None, None),
     ],
 )

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 
 def key_hash(key: Column, salt: str) -> Column:
-    """32-bit non-negative hash as BIGINT: the first eight hex digits of md5(key:salt)."""
+    """60-bit non-negative hash as BIGINT: the first fifteen hex digits of md5(key:salt)."""
     digest = F.md5(F.concat(key.cast("string"), F.lit(f":{salt}")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def keyed_int(key: Column, salt: str, low: int, high: int | Column) -> Column:

@@ -37,9 +37,9 @@ def inventory_value() -> Column:
 
 
 def discount_rate() -> Column:
-    """Percent taken off the actual price, 0 where there is no discount."""
-    off = (F.col("actual_price") - F.col("discount_price")) / F.col("actual_price") * 100
-    return F.when(is_discounted(), off).otherwise(F.lit(0.0))
+    """Percent taken off the actual price as an exact decimal of fourteen places, 0 where there is no discount."""
+    off = (F.col("actual_price") - F.col("discount_price")).cast("decimal(20,0)") * 100 / F.col("actual_price").cast("decimal(18,0)")
+    return F.when(is_discounted(), off).otherwise(F.lit(0)).cast("decimal(26,16)")
 
 
 def spending() -> Column:

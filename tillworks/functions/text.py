@@ -6,17 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+FIRST_NUMBER = r"[0-9][0-9,]*(?:\.[0-9]+)?"
+
+
 def clean_price(text: Column, mode: str = "decimal") -> Column:
     """``₹1,234`` → 1234 as BIGINT.
 
-    ``decimal`` reads the decimal point and rounds half up to whole units; ``digits`` drops every
-    non-digit including the point, so ``₹12.50`` reads 1250.
+    ``decimal`` takes the first number, with its thousands commas and its fraction, and rounds half up to whole
+    units, so ``Rs.1,200`` reads 1200; ``digits`` drops every non-digit including the point, so ``₹12.50`` reads
+    1250. A number beyond BIGINT is NULL.
     """
     if mode == "digits":
         return F.regexp_replace(text, r"\D+", "").try_cast("bigint")
     if mode != "decimal":
         raise ValueError(f"unknown price mode {mode!r}")
-    return F.round(F.regexp_replace(text, r"[^0-9.]+", "").try_cast("decimal(14,2)"), 0).cast("bigint")
+    number = F.regexp_replace(F.regexp_extract(text, FIRST_NUMBER, 0), ",", "")
+    return F.round(number.try_cast("decimal(38,10)"), 0).try_cast("bigint")
 
 
 def clean_rating(text: Column) -> Column:

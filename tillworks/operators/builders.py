@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,9 @@ PAIR_BLOCK_ROWS = 10_000
 
 
 def natural_key(*columns: str) -> Column:
-    return F.concat_ws("|", *columns)
+    """A text that differs for different values: each part with its length before it, NULL as a dash."""
+    part = lambda c: F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-"))
+    return F.concat(*map(part, columns))
 
 
 def number_products(catalog: DataFrame) -> DataFrame:
@@ -49,7 +52,10 @@ def build_inventory(numbered: DataFrame) -> DataFrame:
 
 
 def build_product(catalog: DataFrame, numbered: DataFrame) -> DataFrame:
-    return catalog.join(numbered, list(TRIPLE)).select(
+    """Every listing with its id; a NULL in the triple is a value like any other."""
+    keys = numbered.select("id", *(F.col(c).alias(f"key_{c}") for c in TRIPLE))
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"key_{c}")) for c in TRIPLE))
+    return catalog.join(keys, same).select(
         "id", *TRIPLE, "actual_price", "discount_price", "ratings", "no_of_ratings", "link", "image",
         F.col("id").alias("inventory_id"), F.col("id").alias("order_id"),
     )

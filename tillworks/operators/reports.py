@@ -1,7 +1,8 @@
 """Revenue, order and customer reports from the wide sales row.
 
 All are single hash aggregations with map-side partial sums, so a group that holds a third of the rows still
-moves one row per task. Averages divide exact integer sums, which makes the rounded result independent of row order.
+moves one row per task. Averages divide exact sums, of integers or decimals, which makes the rounded result
+independent of row order.
 """
 
 from __future__ import annotations
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 from ..functions import measures as m
 from ..functions.dates import days_between
 
-RATING_STEPS = 100  # ratings are summed as whole hundredths
+RATING_TYPE = "decimal(20,10)"
+# A mean rate this close above a whole number (in decimals) counts as whole: the rates' own decimals end at the 14th.
+RATE_DECIMALS = 12
 
 
 def _period() -> list[Column]:
@@ -22,8 +25,7 @@ def _period() -> list[Column]:
 
 
 def _mean_rating() -> Column:
-    steps = F.round(F.col("ratings") * RATING_STEPS).cast("bigint")
-    return F.round(F.sum(steps) / (F.count(steps) * RATING_STEPS), 2)
+    return F.round(F.avg(F.col("ratings").cast(RATING_TYPE)), 2).cast("double")
 
 
 def _total(column: str) -> Column:
@@ -39,8 +41,7 @@ def revenue_report(wide: DataFrame) -> DataFrame:
             _total("no_of_ratings"),
             F.round(F.avg("discount_price"), 2).alias("avg_disc_price"),
             F.round(F.avg("actual_price"), 2).alias("avg_act_price"),
-            # Six decimals absorb summation noise that would tip an exact whole rate to the next one.
-            F.ceil(F.round(F.avg(m.discount_rate()), 6)).alias("avg_disc_rate"),
+            F.ceil(F.round(F.avg(m.discount_rate()), RATE_DECIMALS)).cast("bigint").alias("avg_disc_rate"),
             _total("quantity_sold"),
             _total("projected_income"),
             _total("income"),

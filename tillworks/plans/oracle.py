@@ -12,7 +12,7 @@ from .queries import RUN_DATE, SCAN_MONTH
 
 
 def _hash(key: str, salt: str) -> str:
-    return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{salt}'), 1, 8) AS BIGINT)"
+    return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{salt}'), 1, 15) AS BIGINT)"
 
 
 def _int(key: str, salt: str, low: int, high: int | str) -> str:
@@ -128,7 +128,7 @@ SELECT category, "type", city, state, "month", "quarter", "year",
        CAST(sum(no_of_ratings) AS BIGINT) AS no_of_ratings,
        {_mean('sum(discount_price)', 'count(*)')} AS avg_disc_price,
        {_mean('sum(actual_price)', 'count(*)')} AS avg_act_price,
-       CAST(ceil(round(avg({_RATE}), 6)) AS BIGINT) AS avg_disc_rate,
+       CAST(ceil(round(CAST(sum(CAST({_RATE} AS DECIMAL(26, 12))) AS DOUBLE) / count(*), 9)) AS BIGINT) AS avg_disc_rate,
        CAST(sum(quantity_sold) AS BIGINT) AS quantity_sold,
        CAST(sum({_PROJECTED}) AS BIGINT) AS projected_income,
        CAST(sum({_INCOME}) AS BIGINT) AS income,
@@ -137,8 +137,20 @@ SELECT category, "type", city, state, "month", "quarter", "year",
 FROM measured GROUP BY ALL"""
 
 # In the builders a listing's own key, and a product's, are texts.
-_TRIPLE_KEY = "concat_ws('|', product_name, category, \"type\")"
-_LISTING_KEY = "concat_ws('|', product_name, category, \"type\", link)"
+def _natural_key(*columns: str) -> str:
+    return "(" + " || ".join(f"coalesce(length({c}) || ':' || {c}, '-')" for c in columns) + ")"
+
+
+_TRIPLE_KEY = _natural_key("product_name", "category", '"type"')
+_LISTING_KEY = _natural_key("product_name", "category", '"type"', "link")
+
+_FIRST_NUMBER = r"[0-9][0-9,]*(\.[0-9]+)?"
+
+
+def _price(text: str) -> str:
+    number = f"replace(regexp_extract({text}, '{_FIRST_NUMBER}'), ',', '')"
+    return f"CAST(floor(TRY_CAST({number} AS DECIMAL(28, 10)) + 0.5) AS BIGINT)"
+
 
 _LISTINGS = f"""
 listings AS (
@@ -155,10 +167,8 @@ catalog AS (
   SELECT name AS product_name, main_category AS category, sub_category AS "type", image, link,
          TRY_CAST(ratings AS DOUBLE) AS ratings,
          TRY_CAST(replace(no_of_ratings, ',', '') AS BIGINT) AS no_of_ratings,
-         CAST(floor(TRY_CAST(regexp_replace(discount_price, '[^0-9.]', '', 'g') AS DECIMAL(14, 2)) + 0.5) AS BIGINT)
-           AS discount_price,
-         CAST(floor(TRY_CAST(regexp_replace(actual_price, '[^0-9.]', '', 'g') AS DECIMAL(14, 2)) + 0.5) AS BIGINT)
-           AS actual_price,
+         {_price('discount_price')} AS discount_price,
+         {_price('actual_price')} AS actual_price,
          TRY_CAST(regexp_replace(actual_price, '[^0-9]', '', 'g') AS BIGINT) AS actual_digits
   FROM listings),
 numbered AS (
