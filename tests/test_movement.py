@@ -12,9 +12,9 @@ from parity import plan_of
 from tillworks.operators.envelope import decode, encode, rejected
 from tillworks.operators.latest import latest_by_key
 from tillworks.session import fresh_dir, path_exists, shared_root
-from tillworks.sources import endpoints
+from tillworks.sources import endpoints, lake
 from tillworks.sources.lake import read_lake, read_latest, read_table, upsert_table, write_batch
-from tillworks.streaming.envelope_stream import topic_to_lake
+from tillworks.streaming.envelope_stream import topic_to_lake, topic_to_table
 
 SF_DIR = "/root/testdata/sf0.001"
 STOCK = StructType().add("id", "long").add("year", "integer").add("quantity", "integer")
@@ -47,15 +47,35 @@ def test_repeated_batch_adds_nothing(spark, path):
 
 def test_last_load_wins(spark, path):
     write_batch(stock(spark, (1, 2001, 5), (2, 2001, 6)), path, date(2024, 7, 1), "a")
-    write_batch(stock(spark, (2, 2001, 60)), path, date(2024, 10, 1), "a")
+    write_batch(stock(spark, (2, 2001, 60)), path, date(2024, 10, 1), "b")
     assert sorted(map(tuple, read_latest(spark, path, STOCK, ["id"]).collect())) == [(1, 2001, 5), (2, 2001, 60)]
     july = read_latest(spark, path, STOCK, ["id"], month=7).collect()
     assert sorted(map(tuple, july)) == [(1, 2001, 5), (2, 2001, 6)]
 
 
+def test_a_batch_repeated_on_another_day_replaces_all_its_rows(spark, path):
+    write_batch(stock(spark, (1, 2001, 5), (2, 2001, 6)), path, date(2024, 7, 1), "w1")
+    write_batch(stock(spark, (1, 2001, 50)), path, date(2024, 7, 2), "w1")
+    assert sorted(map(tuple, read_lake(spark, path, STOCK).collect())) == [(1, 2001, 50)]
+    days = F.when(F.col("id") == 1, F.lit(date(2024, 7, 3))).otherwise(F.lit(date(2024, 7, 4)))
+    write_batch(stock(spark, (1, 2001, 5), (2, 2001, 6)), path, days, "w1")
+    write_batch(stock(spark, (1, 2001, 7)), path, days, "w1")
+    assert sorted(map(tuple, read_lake(spark, path, STOCK).collect())) == [(1, 2001, 7)]
+
+
+def test_the_last_batch_wins_and_not_the_greatest_name(spark, path):
+    for n, batch in enumerate(["w9", "w10"]):
+        write_batch(stock(spark, (1, 2001, n)), path, date(2024, 7, 1), batch)
+    assert [r.quantity for r in read_latest(spark, path, STOCK, ["id"]).collect()] == [1]
+    write_batch(stock(spark, (1, 2001, 9)), path, date(2024, 7, 5), "w9")  # a repeat keeps its place
+    assert [r.quantity for r in read_latest(spark, path, STOCK, ["id"]).collect()] == [1]
+    with pytest.raises(ValueError):
+        write_batch(stock(spark, (1, 2001, 9)), path, date(2024, 7, 5), "a/b")
+
+
 def test_month_filter_prunes_partitions(spark, path):
     for month in (5, 6, 7):
-        write_batch(stock(spark, (month, 2024, 1)), path, date(2024, month, 1), "a")
+        write_batch(stock(spark, (month, 2024, 1)), path, date(2024, month, 1), f"m{month}")
     scan = read_lake(spark, path, STOCK, month=7)
     assert [r.id for r in scan.collect()] == [7]
     assert scan.columns == STOCK.fieldNames()
@@ -78,13 +98,47 @@ def test_upsert_keeps_one_row_per_key(spark, path):
 def test_upsert_leaves_other_buckets_alone(spark, path):
     rows = spark.range(64).selectExpr("id", "1 AS year", "0 AS quantity")
     upsert_table(path, rows, ["id"], ["year"], buckets=8)
-    before = set(spark.read.parquet(path).inputFiles())
-    upsert_table(path, stock(spark, (5, 2, 1)), ["id"], ["year"], buckets=8)
-    after = set(spark.read.parquet(path).inputFiles())
+    before = set(read_table(spark, path, STOCK).inputFiles())
+    upsert_table(path, stock(spark, (5, 2, 1)), ["id"], ["year"])
+    after = set(read_table(spark, path, STOCK).inputFiles())
     assert len(before - after) == 1
     assert read_table(spark, path, STOCK).count() == 64
 
 
+def test_bucket_count_stays_with_the_table(spark, path):
+    rows = spark.range(50).selectExpr("id", "1 AS year", "0 AS quantity")
+    upsert_table(path, rows, ["id"], ["year"], buckets=8)
+    with pytest.raises(ValueError, match="8 buckets"):
+        upsert_table(path, rows, ["id"], ["year"], buckets=64)
+    upsert_table(path, rows, ["id"], ["year"])
+    assert read_table(spark, path, STOCK).count() == 50
+    derived = f"{path}-derived"
+    upsert_table(derived, rows, ["id"], ["year"])
+    upsert_table(derived, stock(spark, (1, 2, 3)), ["id"], ["year"])
+    assert read_table(spark, derived, STOCK).count() == 50
+
+
+def test_readers_keep_the_old_table_until_a_merge_is_complete(spark, path, monkeypatch):
+    upsert_table(path, stock(spark, (1, 1, 10), (2, 1, 20)), ["id"], ["year"], buckets=2)
+
+    def fail(*_):
+        raise OSError("the driver is lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(lake, "_commit", fail)
+        with pytest.raises(OSError):
+            upsert_table(path, stock(spark, (1, 2, 11)), ["id"], ["year"])
+    assert sorted(map(tuple, read_table(spark, path, STOCK).collect())) == [(1, 1, 10), (2, 1, 20)]
+    upsert_table(path, stock(spark, (1, 2, 11)), ["id"], ["year"])
+    assert sorted(map(tuple, read_table(spark, path, STOCK).collect())) == [(1, 2, 11), (2, 1, 20)]
+
+
+def test_two_writers_cannot_commit_the_same_change(spark, path):
+    upsert_table(path, stock(spark, (1, 1, 10)), ["id"], ["year"], buckets=2)
+    with pytest.raises(RuntimeError, match="another writer"):
+        lake._commit(spark, path, 1, {"buckets": 2, "folders": {}})
+
+
 def test_latest_by_key_reduces_before_the_shuffle(spark):
     rows = spark.range(9000).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))).alias("key"), "id")
     latest = latest_by_key(rows, ["key"], ["id"])
@@ -110,10 +164,12 @@ def test_missing_fields_are_left_out_and_return(spark):
 
 def test_rejected_messages(spark):
     messages = spark.createDataFrame(
-        [("1", '{"id":1,"year":1,"quantity":2}', "b"), ("2", "not json", "b"), (None, '{"year":1}', "b"),
-         ("3", '{"id":3}', "other")],
+        [("1", '{"id":1,"year":1,"quantity":2}', "b", 0), ("2", "not json", "b", 1), (None, '{"year":1}', "b", 2),
+         ("3", '{"id":3}', "other", 0)],
         endpoints.MESSAGE_DDL,
     )
+    assert [r.year for r in decode(messages, STOCK, "b", ["id", "year"]).collect()] == [1, 1]
+    assert [r.value for r in rejected(messages, STOCK, "b", ["id", "year"]).collect()] == ["not json"]
     assert [r.id for r in decode(messages, STOCK, "b").collect()] == [1]
     assert sorted(r.value for r in rejected(messages, STOCK, "b").collect()) == ["not json", '{"year":1}']
 
@@ -155,8 +211,6 @@ def test_kafka_options():
         "subscribe": "orders", "includeHeaders": "true", "kafka.bootstrap.servers": "host:9092", "minPartitions": "32",
     }
     assert topic.may_repeat and not endpoints.file_topic("/t").may_repeat
-    assert endpoints.kafka_start(None) == {"startingOffsets": "earliest"}
-    assert endpoints.kafka_start(5)["startingTimestamp"] == "5"
 
 
 def test_relational_and_keyed_store_options():
@@ -181,12 +235,12 @@ def test_endpoint_round_trip(spark, path):
 def test_stream_equals_batch_and_continues(spark):
     events = spark.read.parquet(f"{SF_DIR}/events.parquet")
     topic = endpoints.file_topic(fresh_dir(spark, "topic"))
-    lake, progress = fresh_dir(spark, "lake"), fresh_dir(spark, "progress")
+    stored_at, progress = fresh_dir(spark, "lake"), fresh_dir(spark, "progress")
 
     def drain():
-        query = topic_to_lake(spark, topic, events.schema, lake, progress, date(2024, 7, 1), maxFilesPerTrigger="1")
+        query = topic_to_lake(spark, topic, events.schema, stored_at, progress, date(2024, 7, 1), maxFilesPerTrigger="1")
         query.awaitTermination()
-        return read_lake(spark, lake, events.schema)
+        return read_lake(spark, stored_at, events.schema)
 
     half = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     topic.publish(encode(events.where(F.col("ts") < half).repartition(3), "one"))
@@ -194,7 +248,7 @@ def test_stream_equals_batch_and_continues(spark):
     topic.publish(encode(events.where(F.col("ts") >= half), "two"))
     stored = drain()
     assert sorted(stored.collect()) == sorted(events.collect())
-    batches = read_lake(spark, lake, events.schema, keep_stamps=True).select("load_batch").distinct().count()
+    batches = read_lake(spark, stored_at, events.schema, keep_stamps=True).select("load_batch").distinct().count()
     assert batches >= 4
     latest = latest_by_key(stored, ["user_id"], ["ts", "event_id"])
     assert sorted(latest.collect()) == sorted(latest_by_key(events, ["user_id"], ["ts", "event_id"]).collect())
@@ -207,6 +261,35 @@ def test_replayed_micro_batch_replaces_itself(spark, path):
     assert read_lake(spark, path, STOCK).count() == 1
 
 
+def test_stream_into_a_table_counts_each_message_of_the_wanted_attempt_once(spark, path):
+    topic = endpoints.file_topic(f"{path}/topic")
+    topic.publish(encode(stock(spark, (1, 9, 99), (7, 1, 1)), "failed"))
+    good = encode(stock(spark, (1, 1, 10), (2, 1, 20), (1, 2, 11)), "good")
+    topic.publish(good.unionAll(good).unionAll(spark.createDataFrame([("x", "broken", "good", 9)], endpoints.MESSAGE_DDL)))
+    for _ in range(2):
+        topic_to_table(spark, topic, STOCK, f"{path}/table", ["id"], ["year"], f"{path}/progress", ["good"]).awaitTermination()
+    assert sorted(map(tuple, read_table(spark, f"{path}/table", STOCK).collect())) == [(1, 2, 11), (2, 1, 20)]
+
+
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]"])
+def test_a_folder_of_each_machine_is_refused_on_a_cluster(spark, master):
+    class Conf:
+        def get(self, key, default=None):
+            return "/scratch"
+
+    class Context:
+        applicationId = "a1"
+
+    class Session:
+        conf, sparkContext, _jvm, _jsc = Conf(), Context(), spark._jvm, spark._jsc
+
+    Context.master = master
+    with pytest.raises(ValueError, match="no scheme"):
+        shared_root(Session())
+    Context.master = "local[4]"
+    assert shared_root(Session()) == "/scratch"
+
+
 def test_cluster_without_shared_folder_is_refused(monkeypatch):
     class Conf:
         def get(self, key, default=None):

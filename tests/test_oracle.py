@@ -16,7 +16,7 @@ SF_DIR = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
 # Numbering brings one row per written file together.
 NUMBERED = {
-    "surrogate_key", "fact_order", "build_inventory", "build_product", "build_customer", "build_address", "build_order",
+    "surrogate_key", "incremental_ids", "fact_order", "build_inventory", "build_product", "build_customer", "build_address", "build_order",
 }
 
 

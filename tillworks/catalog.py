@@ -38,8 +38,9 @@ LISTING_COLUMNS = (
 )
 
 # Stamps added by the lake writer; business columns keep their own year, month and day.
-LOAD_STAMPS = ("load_year", "load_month", "load_day", "load_batch")
-LOAD_DDL = "load_year INT, load_month INT, load_day INT, load_batch STRING"
+LOAD_DAY = ("load_year", "load_month", "load_day")
+LOAD_STAMPS = ("load_seq", "load_batch", *LOAD_DAY)
+LOAD_DDL = "load_seq BIGINT, load_batch STRING, load_year INT, load_month INT, load_day INT"
 
 LAKE = {
     t.name: t

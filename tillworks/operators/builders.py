@@ -26,10 +26,6 @@ SHIPPING_DAYS = (1, 7)
 FIRST_MOMENT = datetime(2023, 1, 1)
 MOMENT_SPAN_SECONDS = 365 * 24 * 3600
 
-# Up to this many addresses the customer-address relation is built from one literal-sized array.
-ADDRESS_ARRAY_LIMIT = 10_000
-PAIR_BLOCK_ROWS = 10_000
-
 
 def natural_key(*columns: str) -> Column:
     """A text that differs for different values: each part with its length before it, NULL as a dash."""
@@ -61,7 +57,11 @@ def build_product(catalog: DataFrame, numbered: DataFrame) -> DataFrame:
     )
 
 
-def build_customer(catalog: DataFrame, names: DataFrame) -> DataFrame:
+BUYER = ("customer_name", "gender", "email", "segment")
+PLACE = ("city", "state")
+
+
+def draw_customers(catalog: DataFrame, names: DataFrame) -> DataFrame:
     """One buyer per listing, named from the ``name`` list; equal buyers are merged."""
     listing = natural_key(*TRIPLE, "link")
     numbered_names = dense_ids(names.select("name").where(F.col("name").isNotNull()).distinct(), "name")
@@ -73,14 +73,18 @@ def build_customer(catalog: DataFrame, names: DataFrame) -> DataFrame:
         keyed_pick(listing, "domain", EMAIL_DOMAINS).alias("domain"),
         keyed_pick(listing, "segment", SEGMENTS).alias("segment"),
     ).distinct()
-    buyers = drawn.join(numbered_names, "id").select(
+    # Names are unique by id, and an e-mail tells its number and domain: distinct draws are distinct buyers.
+    return drawn.join(numbered_names, "id").select(
         F.col("name").alias("customer_name"),
         "gender",
         email_address(F.col("name"), F.col("number"), F.col("domain")).alias("email"),
         "segment",
     )
-    # Names are unique by id, and an e-mail tells its number and domain: distinct draws are distinct buyers.
-    return dense_ids(buyers, "customer_name", "gender", "email", "segment")
+
+
+def build_customer(catalog: DataFrame, names: DataFrame) -> DataFrame:
+    """The buyers of :func:`draw_customers`, numbered."""
+    return dense_ids(draw_customers(catalog, names), *BUYER)
 
 
 def build_address(cities: DataFrame) -> DataFrame:
@@ -113,34 +117,6 @@ def build_orders(numbered: DataFrame, customer: DataFrame, address: DataFrame) -
     )
 
 
-def build_customer_address(customer: DataFrame, address: DataFrame) -> DataFrame:
-    """Every customer with every address: the relation is declared so, and is linear in the customers.
-
-    The address list is counted first. A short one becomes a single array, by which each customer row is
-    expanded in place: no join, no shuffle of customers. A longer one is cut into blocks: customers repeat
-    once per address block, addresses once per customer block, and block pairs meet by an ordinary equi-join.
-    """
-    customers = customer.select(F.col("id").alias("customer_id")).distinct()
-    addresses = address.select(F.col("id").alias("address_id")).distinct()
-    address_count = addresses.count()
-    if address_count <= ADDRESS_ARRAY_LIMIT:
-        ids = addresses.agg(F.sort_array(F.collect_set("address_id"))).scalar()
-        return customers.select("customer_id", F.explode(ids).alias("address_id"))
-    address_blocks = -(-address_count // PAIR_BLOCK_ROWS)
-    customer_blocks = -(-customers.count() // PAIR_BLOCK_ROWS)
-    return pair_by_blocks(customers, addresses, customer_blocks, address_blocks)
-
-
-def pair_by_blocks(left: DataFrame, right: DataFrame, left_blocks: int, right_blocks: int) -> DataFrame:
-    """All pairs of two single-column frames, spread over left_blocks × right_blocks join keys."""
-    (left_key,), (right_key,) = left.columns, right.columns
-
-    def block(key: str, blocks: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(blocks))
-
-    def all_blocks(blocks: int) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
-
-    rows = left.select(left_key, block(left_key, left_blocks).alias("lb"), all_blocks(right_blocks).alias("rb"))
-    columns = right.select(right_key, block(right_key, right_blocks).alias("rb"), all_blocks(left_blocks).alias("lb"))
-    return rows.join(columns, ["lb", "rb"]).select(left_key, right_key)
+def build_customer_address(orders: DataFrame) -> DataFrame:
+    """Each customer with the addresses that the customer's orders go to."""
+    return orders.select("customer_id", F.col("city_id").alias("address_id")).distinct()

@@ -1,10 +1,13 @@
 """Rows as topic messages: the first column as text key, the whole row as a JSON value.
 
-A batch id travels with each message, so that a reader takes one load out of a topic that keeps its history.
+A batch id and the row's number travel with each message, so that a reader takes one load out of a topic that keeps
+its history, and tells a repeated message from an equal row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,15 +19,26 @@ JSON_OPTIONS = {
 }
 
 
-def encode(df: DataFrame, batch: str) -> DataFrame:
-    """``(key, value, batch)``. NULL fields are left out of the JSON and come back as NULL."""
+def encode(df: DataFrame, batch: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``(key, value, batch, number)``. NULL fields are left out of the JSON and come back as NULL.
+
+    The key is the first column, or all of several ``keys`` as JSON. Numbers follow from the place of a row in the frame:
+    pass a written frame where tasks may be repeated.
+    """
+    key = F.to_json(F.struct(*keys), JSON_OPTIONS) if len(keys) > 1 else F.col(df.columns[0]).cast("string")
     return df.select(
-        F.col(df.columns[0]).cast("string").alias("key"),
+        key.alias("key"),
         F.to_json(F.struct("*"), JSON_OPTIONS).alias("value"),
         F.lit(batch).alias("batch"),
+        F.monotonically_increasing_id().alias("number"),
     )
 
 
+def without_repeats(messages: DataFrame) -> DataFrame:
+    """Each message once, however often the transport delivered it."""
+    return messages.dropDuplicates(["batch", "number"])
+
+
 def _row(schema: StructType) -> Column:
     return F.from_json(F.col("value").cast("string"), schema, JSON_OPTIONS)
 
@@ -33,16 +47,25 @@ def _of_batch(messages: DataFrame, batch: str | None) -> DataFrame:
     return messages if batch is None else messages.where(F.col("batch") == batch)
 
 
-def decode(messages: DataFrame, schema: StructType, batch: str | None = None) -> DataFrame:
-    """Typed rows of one batch (or of all); a message without its first field is left to :func:`rejected`.
+def _has_key(row: Column, schema: StructType, keys: Sequence[str]) -> Column:
+    return F.coalesce(*(row[k].cast("string") for k in keys or [schema[0].name]), F.lit(None).cast("string")).isNotNull()
+
+
+def decode(
+    messages: DataFrame, schema: StructType, batch: str | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Typed rows of one batch (or of all); a message without any of its ``keys``, by default its first field, is left
+    to :func:`rejected`.
 
     The test sits inside the generator: as a filter it would be pushed below the projection and parse every
     message a second time.
     """
-    accepted = F.filter(F.array(_row(schema)), lambda row: row[schema[0].name].isNotNull())
+    accepted = F.filter(F.array(_row(schema)), lambda row: _has_key(row, schema, keys))
     return _of_batch(messages, batch).select(F.inline(accepted))
 
 
-def rejected(messages: DataFrame, schema: StructType, batch: str | None = None) -> DataFrame:
+def rejected(
+    messages: DataFrame, schema: StructType, batch: str | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
     """The messages :func:`decode` does not deliver, as they came."""
-    return _of_batch(messages, batch).where(_row(schema)[schema[0].name].isNull())
+    return _of_batch(messages, batch).where(~_has_key(_row(schema), schema, keys))

@@ -6,41 +6,57 @@ JDBC on a cluster, folders in tests.
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..catalog import LAKE, MART, WAREHOUSE, Table
 from ..operators import builders, reports, star
-from ..operators.catalog_clean import clean_catalog, rows_above_mark
-from ..operators.envelope import decode, encode
+from ..operators.catalog_clean import TRIPLE, clean_catalog
+from ..operators.envelope import decode, encode, rejected, without_repeats
+from ..operators.numbering import dense_ids
+from ..operators.stable_keys import new_keys, same_key, stable_ids
 from ..operators.wide import wide_sales
 from ..session import path_exists, written
 from ..sources.endpoints import Endpoint, Topic
-from ..sources.lake import read_lake, read_latest, stamp, write_batch
+from ..sources.lake import read_latest, stamp, write_batch
 from ..sources.listings import read_cities, read_listings, read_names
 
-CLOCK_SLACK_MS = 3_600_000  # by how much clocks of executors and driver may differ
-
 TopicOf = Callable[[str], Topic]
 Sink = Callable[[Table, DataFrame], None]
 
 
-def hop(rows: DataFrame, table: Table, topics: TopicOf, batch: str) -> DataFrame:
+def hop(rows: DataFrame, table: Table, topics: TopicOf, batch: str, rejects: Sink | None = None) -> DataFrame:
     """Publish one batch of a table and take it from the topic again, typed as declared.
 
     Each attempt at a batch sends under an id of its own, so one that failed half-way leaves nothing behind
-    for the next. Where the transport may repeat messages, exact copies are dropped.
+    for the next. Where the transport may repeat messages, repeats are told by their number. What comes back is
+    counted against what was sent: messages that cannot be decoded go to ``rejects``, and the batch fails without it, or
+    if any message is missing.
     """
     topic = topics(table.name)
     attempt = f"{batch}-{uuid.uuid4().hex}"
-    since_ms = int(time.time() * 1000) - CLOCK_SLACK_MS
-    topic.publish(encode(table.conform(rows), attempt))
-    received = decode(topic.consume(rows.sparkSession, since_ms), table.schema, attempt)
-    return received.distinct() if topic.may_repeat else received
+    sent = written(table.conform(rows), f"sent-{table.name}")
+    topic.publish(encode(sent, attempt, table.key))
+    messages = topic.consume(rows.sparkSession)
+    if topic.may_repeat:
+        messages = without_repeats(messages.where(F.col("batch") == attempt))
+    received = written(decode(messages, table.schema, attempt, table.key), f"received-{table.name}")
+    missing = sent.count() - received.count()
+    if missing:
+        bad = written(rejected(messages, table.schema, attempt, table.key), f"rejected-{table.name}")
+        if bad.count() != missing or rejects is None:
+            raise RuntimeError(f"{table.name}: {missing} of the messages of {attempt} did not come back as rows")
+        rejects(table, bad)
+    return received
+
+
+def lake_rejects(root: str, loaded: date, batch: str) -> Sink:
+    """Keep rejected messages as a lake table beside the table they were meant for."""
+    return lambda table, messages: write_batch(messages, f"{root}/_rejected/{table.name}", loaded, batch)
 
 
 def lake_sink(root: str, loaded: date, batch: str) -> Sink:
@@ -64,29 +80,53 @@ def ingest(
     price_mode: str = "decimal",
     only_if_new: bool = False,
 ) -> bool:
-    """Listing files → six lake tables. With ``only_if_new``, do nothing unless ids exceed the stored ones."""
-    catalog = clean_catalog(read_listings(spark, listing_paths), price_mode)
-    numbered = builders.number_products(catalog)
-    stored = f"{lake}/product"
-    if only_if_new and path_exists(spark, stored):
-        if rows_above_mark(numbered, read_lake(spark, stored, LAKE["product"].schema)).isEmpty():
+    """Listing files → six lake tables. With ``only_if_new``, only products that no load has brought; False if none.
+
+    Products, buyers and places keep their ids over all loads, by key tables in the lake. Frames that several tables
+    derive from are written once.
+    """
+    catalog = written(clean_catalog(read_listings(spark, listing_paths), price_mode), "catalog")
+    keys = f"{lake}/_keys"
+    if only_if_new and path_exists(spark, f"{keys}/product"):
+        stored = spark.read.schema(LAKE["product"].schema).parquet(f"{keys}/product").select(*TRIPLE)
+        fresh = written(new_keys(catalog, stored, *TRIPLE), "new-products")
+        if fresh.isEmpty():
             return False
-    customer = builders.build_customer(catalog, read_names(spark, names_path))
-    address = builders.build_address(read_cities(spark, cities_path))
+        catalog = written(catalog.join(fresh, same_key(catalog, fresh, TRIPLE), "left_semi"), "new-listings")
+    numbered = written(stable_ids(f"{keys}/product", catalog, *TRIPLE), "numbered")
+    buyers = written(builders.draw_customers(catalog, read_names(spark, names_path)), "buyers")
+    customer = written(stable_ids(f"{keys}/customer", buyers, *builders.BUYER), "customer")
+    places = read_cities(spark, cities_path).select(*builders.PLACE).distinct()
+    known_places = stable_ids(f"{keys}/address", places, *builders.PLACE)
+    address = written(known_places.withColumn("country", F.lit(builders.COUNTRY)), "address")
+    orders = written(_orders(numbered, customer, address), "orders")
     frames = {
         "inventory": builders.build_inventory(numbered),
         "product": builders.build_product(catalog, numbered),
-        "orderr": builders.build_orders(numbered, customer, address),
+        "orderr": orders,
         "customer": customer,
         "address": address,
-        "customerAddress": builders.build_customer_address(customer, address),
+        "customerAddress": builders.build_customer_address(orders),
     }
-    store = lake_sink(lake, loaded, batch)
+    store, rejects = lake_sink(lake, loaded, batch), lake_rejects(lake, loaded, batch)
     for name, frame in frames.items():
-        store(LAKE[name], hop(frame, LAKE[name], topics, batch))
+        store(LAKE[name], hop(frame, LAKE[name], topics, batch, rejects))
     return True
 
 
+def _orders(numbered: DataFrame, customer: DataFrame, address: DataFrame) -> DataFrame:
+    """Orders of the load's own buyers and places, which are drawn by their places in this load."""
+    by_place = {
+        "customer_id": written(dense_ids(customer.withColumnRenamed("id", "known"), *builders.BUYER), "buyer-places"),
+        "city_id": written(dense_ids(address.withColumnRenamed("id", "known"), *builders.PLACE), "city-places"),
+    }
+    orders = builders.build_orders(numbered, *by_place.values())
+    for column, places in by_place.items():
+        known = places.select(F.col("id").alias(column), "known")
+        orders = orders.join(known, column).withColumn(column, F.col("known")).drop("known")
+    return orders
+
+
 def load_wide(
     spark: SparkSession, lake: str, month: int | None = None, year: int | None = None, batch: str | None = None
 ) -> DataFrame:
@@ -103,8 +143,9 @@ def load_wide(
 
     # A buyer may hold a third of the orders. AQE splits such a join partition only between two shuffles, so
     # the buyers are written rather than joined in the partitioning of their aggregate.
-    buyers = written(table("customer"), "buyers")
-    joined = wide_sales(table("inventory"), table("product"), table("orderr"), buyers, table("address"))
+    # The same holds for places: a city receives a large share of all orders by nature.
+    buyers, places = written(table("customer"), "buyers"), written(table("address"), "places")
+    joined = wide_sales(table("inventory"), table("product"), table("orderr"), buyers, places)
     return written(joined, "wide")
 
 

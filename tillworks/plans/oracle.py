@@ -262,14 +262,20 @@ def oracle_sql() -> dict[str, str]:
         "surrogate_key": f"""WITH {_ORDER_LINES}
             SELECT row_number() OVER (ORDER BY product_id, customer_id, ship_date) AS id, * FROM
               (SELECT DISTINCT product_id, customer_id, ship_date FROM order_lines)""",
+        "incremental_ids": _catalog(
+            """, keys AS (SELECT product_name, category, "type", "type" = 'LARGE' AS late FROM numbered)
+               SELECT row_number() OVER (ORDER BY late, product_name, category, "type") AS id,
+                      product_name, category, "type" FROM keys"""
+        ),
+        "new_keys": _catalog("""SELECT DISTINCT product_name, category, "type" FROM catalog WHERE "type" = 'LARGE'"""),
         "join_using_keys": _catalog(
             """, copies AS (SELECT product_name, category, "type", count(*) AS copies,
                                    min(actual_price) AS lowest_price FROM catalog GROUP BY ALL)
                SELECT link, product_name, category, "type", actual_price, copies, lowest_price
                FROM catalog JOIN copies USING (product_name, category, "type")"""
         ),
-        "customer_address_cross": """SELECT c_custkey AS customer_id, CAST(n_nationkey AS BIGINT) AS address_id
-            FROM customer CROSS JOIN nation""",
+        "customer_places": """SELECT DISTINCT o_custkey AS customer_id, CAST(c_nationkey AS BIGINT) AS address_id
+            FROM orders JOIN customer ON o_custkey = c_custkey""",
         "union_sources": """SELECT 'customer' AS party, c_custkey AS party_id, c_name AS name, c_mktsegment AS segment
             FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name, NULL FROM supplier""",
         "collect_set_names": """SELECT r_name, string_agg(n_name, ',' ORDER BY n_name) AS nations

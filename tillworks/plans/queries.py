@@ -13,13 +13,14 @@ from ..functions.measures import DELIVERY_WEIGHTS, add_measures
 from ..operators import builders, catalog_clean, reports, star
 from ..operators import wide as wide_ops
 from ..operators.envelope import decode, encode
-from ..operators.latest import latest_by_key
 from ..operators.numbering import dense_ids
+from ..operators.stable_keys import new_keys as keys_not_stored
+from ..operators.stable_keys import stable_ids
 from ..session import fresh_dir, written
 from ..sources.endpoints import file_topic
 from ..sources.lake import read_lake, read_table, upsert_table, write_batch
 from ..sources.listings import read_listings, union_sources
-from ..streaming.envelope_stream import topic_to_lake
+from ..streaming.envelope_stream import topic_to_table
 from . import adapter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +107,29 @@ def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense_ids(combos.select("product_id", "customer_id", "ship_date").distinct(), "product_id", "customer_id")
 
 
+@query
+def incremental_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all listings after two overlapping loads: those of the first load stay, new ones go above them."""
+    catalog = catalog_clean.distinct_triples(_catalog(spark, sf_dir))
+    first, second = _loads(catalog)
+    path = fresh_dir(spark, "keys")
+    stable_ids(path, first, *catalog_clean.TRIPLE)
+    stable_ids(path, second, *catalog_clean.TRIPLE)
+    return stable_ids(path, catalog, *catalog_clean.TRIPLE)
+
+
+@query
+def new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listings of a second, overlapping load that the first has not brought."""
+    first, second = _loads(_catalog(spark, sf_dir))
+    return keys_not_stored(second, first.select(*catalog_clean.TRIPLE).distinct(), *catalog_clean.TRIPLE)
+
+
+def _loads(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two loads that together hold all rows and share one size class."""
+    return catalog.where(F.col("type") != "LARGE"), catalog.where(F.col("type") != "SMALL")
+
+
 @query
 def join_using_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each listing with the number and lowest price of its copies.
@@ -123,8 +147,11 @@ def join_using_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def customer_address_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return builders.build_customer_address(adapter.customer(spark, sf_dir), adapter.address(spark, sf_dir))
+def customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each buyer with the places that the buyer's orders go to."""
+    headers = adapter.order_headers(spark, sf_dir).select("customer_id")
+    buyers = adapter.customer(spark, sf_dir).select(F.col("id").alias("customer_id"), "city_id")
+    return builders.build_customer_address(headers.join(buyers, "customer_id"))
 
 
 @query
@@ -369,7 +396,7 @@ def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = adapter.table(spark, sf_dir, "events")
     path = fresh_dir(spark, "lake")
     write_batch(events, path, RUN_DATE, "b1")
-    return read_lake(spark, path, events.schema, keep_stamps=True).drop("load_batch")
+    return read_lake(spark, path, events.schema, keep_stamps=True).drop("load_batch", "load_seq")
 
 
 @query
@@ -394,11 +421,17 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events through the topic as a stream into the lake; then the last event per user."""
+    """All events through the topic as a stream into a keyed table of the last event per user.
+
+    The topic also holds a failed attempt at the batch, which does not count.
+    """
     events = adapter.table(spark, sf_dir, "events")
     topic = file_topic(fresh_dir(spark, "stream-topic"))
+    topic.publish(encode(events.withColumn("value", -F.col("value")), "b1-failed"))
     topic.publish(encode(events, "b1"))
-    path = fresh_dir(spark, "stream-lake")
-    stream = topic_to_lake(spark, topic, events.schema, path, fresh_dir(spark, "stream-progress"), RUN_DATE)
+    path = fresh_dir(spark, "stream-table")
+    stream = topic_to_table(
+        spark, topic, events.schema, path, ["user_id"], ["ts", "event_id"], fresh_dir(spark, "stream-progress"), ["b1"]
+    )
     stream.awaitTermination()
-    return latest_by_key(read_lake(spark, path, events.schema), ["user_id"], ["ts", "event_id"])
+    return read_table(spark, path, events.schema)

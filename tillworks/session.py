@@ -30,12 +30,19 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``, or a temporary one in local mode only."""
+    """The folder all executors see: ``spark.checkpoint.dir``, or a temporary one in local mode only.
+
+    A path without scheme is resolved by the cluster's default file system; where that is a machine's own disk, it is
+    refused. A ``file:`` URI is taken at its word, as shared folders may be mounted.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    alone = context.master == "local" or context.master.startswith("local[")
     if root:
+        if not alone and ":" not in root and hadoop_fs(spark, root)[1].toUri().getScheme() == "file":
+            raise ValueError("spark.checkpoint.dir has no scheme and would be a folder of each machine")
         return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not alone:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _local_roots:
         _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tillworks-")
@@ -47,9 +54,16 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tillworks/{label}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def hadoop_fs(spark: SparkSession, path: str):
+    """(file system, qualified path) of a path, as Spark would resolve it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(hadoop_path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = hadoop_fs(spark, path)
+    return fs.exists(hadoop_path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

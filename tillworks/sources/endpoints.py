@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MESSAGE_DDL = "key STRING, value STRING, batch STRING"
-BATCH_HEADER = "batch"
+MESSAGE_DDL = "key STRING, value STRING, batch STRING, number BIGINT"
+HEADERS = {"batch": "string", "number": "bigint"}
 
 
 @dataclass(frozen=True)
@@ -30,6 +30,9 @@ class Endpoint:
         return spark.read.format(self.format).options(**self.all_options).load(self.path)
 
     def save(self, df: DataFrame, mode: str = "append") -> None:
+        # The JDBC writer merges partitions down to its connections, which would take the tasks before it along.
+        connections = self.options.get("numPartitions") if self.format == "jdbc" else None
+        df = df.repartition(int(connections)) if connections else df
         df.write.format(self.format).options(**self.all_options).mode(mode).save(self.path)
 
 
@@ -57,7 +60,7 @@ def keyed_store_table(keyspace: str, table: str, batch_rows: int = 1000) -> Endp
 
 @dataclass(frozen=True)
 class Topic:
-    """A message log of ``(key, value, batch)`` rows: a Kafka topic, or a Parquet folder split by batch."""
+    """A message log of ``(key, value, batch, number)`` rows: a Kafka topic, or a Parquet folder split by batch."""
 
     endpoint: Endpoint
 
@@ -78,14 +81,14 @@ class Topic:
         """Kafka delivers at least once: a task that is tried again sends its rows again."""
         return self.is_kafka
 
-    def consume(self, spark: SparkSession, since_ms: int | None = None) -> DataFrame:
-        """Everything up to the latest message as a bounded frame, from the earliest or from a moment on.
+    def consume(self, spark: SparkSession) -> DataFrame:
+        """Everything from the earliest to the latest message as a bounded frame.
 
-        A moment (epoch milliseconds) spares the reader of one load the history of the topic; a file topic
-        prunes by batch instead.
+        A bound by time would lose messages whose clocks differ; the topic's retention bounds the read, and a file
+        topic prunes by batch.
         """
         if self.is_kafka:
-            options = {"endingOffsets": "latest", **kafka_start(since_ms), **kafka_source_options(self)}
+            options = {"startingOffsets": "earliest", "endingOffsets": "latest", **kafka_source_options(self)}
             return from_kafka_rows(spark.read.format("kafka").options(**options).load())
         return spark.read.schema(MESSAGE_DDL).format(self.endpoint.format).load(self.endpoint.path)
 
@@ -115,22 +118,18 @@ def kafka_source_options(topic: Topic) -> dict[str, str]:
     return {"subscribe": options.pop("topic"), "includeHeaders": "true", **options}
 
 
-def kafka_start(since_ms: int | None) -> dict[str, str]:
-    if since_ms is None:
-        return {"startingOffsets": "earliest"}
-    # A partition with nothing that new is read from its end.
-    return {"startingTimestamp": str(since_ms), "startingOffsetsByTimestampStrategy": "latest"}
-
-
 def to_kafka_rows(messages: DataFrame) -> DataFrame:
-    header = F.struct(F.lit(BATCH_HEADER).alias("key"), F.col("batch").cast("binary").alias("value"))
-    return messages.select("key", "value", F.array(header).alias("headers"))
+    headers = [
+        F.struct(F.lit(name).alias("key"), F.col(name).cast("string").cast("binary").alias("value")) for name in HEADERS
+    ]
+    return messages.select("key", "value", F.array(*headers).alias("headers"))
 
 
 def from_kafka_rows(rows: DataFrame) -> DataFrame:
-    batch = F.get(F.filter("headers", lambda h: h["key"] == BATCH_HEADER), 0)["value"]
+    def header(name: str) -> Column:
+        held = F.filter("headers", lambda h: h["key"] == name)
+        return F.get(held, 0)["value"].cast("string").try_cast(HEADERS[name]).alias(name)
+
     return rows.select(
-        F.col("key").cast("string").alias("key"),
-        F.col("value").cast("string").alias("value"),
-        batch.cast("string").alias("batch"),
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), *map(header, HEADERS)
     )

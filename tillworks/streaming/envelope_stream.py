@@ -1,16 +1,31 @@
-"""The topic hop as a stream: messages are decoded and land in the lake batch by batch."""
+"""The topic hop as a stream: messages are decoded and land batch by batch in the lake, or in a keyed table."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.envelope import decode
+from ..operators.envelope import decode, without_repeats
 from ..sources.endpoints import Topic
-from ..sources.lake import write_batch
+from ..sources.lake import upsert_table, write_batch
+
+
+def _drain(
+    spark: SparkSession, topic: Topic, store: Callable[[DataFrame, int], None], progress_path: str, limits: dict[str, str]
+) -> StreamingQuery:
+    """Deliver all messages present, then stop; a restart continues after the last finished micro-batch."""
+    return (
+        topic.stream(spark, **limits)
+        .writeStream.foreachBatch(store)
+        .option("checkpointLocation", progress_path)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def topic_to_lake(
@@ -22,19 +37,38 @@ def topic_to_lake(
     loaded: date,
     **limits: str,
 ) -> StreamingQuery:
-    """Deliver all messages present, then stop; a restart continues after the last finished micro-batch.
+    """All messages as rows of a lake table.
 
-    A micro-batch is stored under its own number, so one that is replayed after a failure replaces its first
-    attempt. Keep ``progress_path`` on the shared folder.
+    A micro-batch is stored under its own number, so one that is replayed after a failure, on whatever day, replaces its
+    first attempt. Keep ``progress_path`` on the shared folder.
     """
 
     def store(messages: DataFrame, number: int) -> None:
-        write_batch(decode(messages, schema), lake_path, loaded, f"stream-{number:012d}")
+        write_batch(decode(without_repeats(messages), schema), lake_path, loaded, f"stream-{number:012d}")
 
-    return (
-        topic.stream(spark, **limits)
-        .writeStream.foreachBatch(store)
-        .option("checkpointLocation", progress_path)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _drain(spark, topic, store, progress_path, limits)
+
+
+def topic_to_table(
+    spark: SparkSession,
+    topic: Topic,
+    schema: StructType,
+    table_path: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    progress_path: str,
+    batches: Sequence[str] = (),
+    buckets: int | None = None,
+    **limits: str,
+) -> StreamingQuery:
+    """Messages merged into a keyed table, where the last write per key wins.
+
+    The merge gives the same table when a micro-batch is replayed or a message comes twice, also in different
+    micro-batches. ``batches`` names the attempts that count; without it, all do.
+    """
+
+    def store(messages: DataFrame, number: int) -> None:
+        wanted = messages.where(F.col("batch").isin(*batches)) if batches else messages
+        upsert_table(table_path, decode(wanted, schema), keys, order, buckets)
+
+    return _drain(spark, topic, store, progress_path, limits)
