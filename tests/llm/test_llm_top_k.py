@@ -1,0 +1,62 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+from parity import compare, duck
+from pyspark.sql import functions as F
+
+from tillworks.llm import queries, top_k
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def brute(rows, queries, k=5):
+    fine = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for q, a in fine:
+        if q in queries:
+            scored = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in fine if i != q)[:k]
+            out += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scored)]
+    return sorted(out)
+
+
+def ours(spark, rows, ids, kind="float", **options):
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").withColumns({c: F.lit("x") for c in ("vector", "score", "rank")})
+    vectors = top_k.integer_vectors(df)
+    return sorted(map(tuple, top_k.top_k(vectors.filter(F.col("vec_id").isin(*ids)), vectors, **options).collect()))
+
+
+def test_random_vectors_with_ties_equal_brute_force(spark, monkeypatch):
+    draw = np.random.default_rng(0)
+    rows = [(i, (draw.integers(-3, 4, 6) / 4).tolist()) for i in range(400)] + [(400 + i, [0.0] * 6) for i in range(30)]
+    ids = {0, 7, 399, 400}
+    for block, query_rows in ((8192, 4096), (64, 2)):
+        monkeypatch.setattr(top_k, "BLOCK_ROWS", block)
+        monkeypatch.setattr(top_k, "QUERY_ROWS", query_rows)
+        assert ours(spark, rows, ids) == brute(rows, ids)
+        assert ours(spark, rows, ids, k=40) == brute(rows, ids, 40)
+
+
+def test_reading_stops_early():
+    draw = np.random.default_rng(0)
+    vectors = draw.integers(-5, 6, (4000, 3))
+    vectors[:10] = [1000, 1000, 1000]
+    lists = top_k.Lists(np.arange(4000), vectors)
+    left = lists.survivors(np.arange(4000), np.array([3.0, 2.0, 1.0]), 5)
+    assert set(range(10)) <= set(left.tolist()) and len(left) <= 4000 * top_k.FEW
+
+
+def test_awkward_vectors(spark):
+    rows = [
+        (1, [1.0, 2.0]), (2, None), (3, [None, 1.0]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [1.0, 2.0]),
+        (None, [9.0, 9.0]), (7, []), (8, [-0.5, 0.001]), (9, [1e12, -1e12]),
+    ]
+    assert ours(spark, rows, {1, 2, 8, 9}, "double") == brute(rows, {1, 2, 8, 9})
+    assert ours(spark, rows[:1], {1}) == [] and ours(spark, [], {1}) == []
+
+
+def test_query_equals_sql(spark):
+    name = "op8_threshold_top_k"
+    rows, problems = compare(queries.queries()[name](spark, SF_DIR), duck(SF_DIR), queries.oracle_sql()[name])
+    assert rows and not problems

@@ -33,15 +33,18 @@ HEADS = ("quality", "toxic")
 #: Rounds of expectation maximisation.
 ROUNDS = 50
 #: How often a given label is right. It is not estimated: given labels are what the answers mean.
-GIVEN_ACCURACY = 0.98
+GIVEN_ACCURACY = 0.995
 #: Texts of each pair of likely answers that training reads in expectation, and characters from which none is drawn.
 SAMPLE_TEXTS = 1_500
 SAMPLE_CHARS = 20_000
 HASHED = 1 << 18
-EPOCHS = 12
+EPOCHS = 40
 BATCH_TEXTS = 64
-RATE = 0.2
-SHRINK = 2e-5
+RATE = 0.3
+PENALTY = 1e-3
+#: A feature is used if its texts differ from the others by so many standard errors, and there are this many of them.
+LEAST_ERRORS = 5.0
+LEAST_TEXTS = 5
 #: A text is kept if its quality is at least, and its toxicity below this.
 LEAST_QUALITY = 0.5
 MOST_TOXIC = 0.5
@@ -112,34 +115,48 @@ def vote_table(documents: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 @dataclass
 class Labellers:
-    """What expectation maximisation knows of one question: the share of ones and, for each labeller and answer, the
-    chance of finding fault."""
+    """What expectation maximisation knows of one question.
 
-    share: float
-    chances: np.ndarray  # labellers x 2
+    Texts with a fault are of several kinds, one begun for each labeller, since a text that shouts need not have bars:
+    class 0 is without fault, class k is the k-th kind. ``chances`` are those of each labeller to find fault in each class.
+    """
+
+    shares: np.ndarray  # classes
+    chances: np.ndarray  # labellers x classes
+    fault: int  # the answer of all classes but the first
+
+    def classes(self, votes: np.ndarray, given: np.ndarray) -> np.ndarray:
+        """Probability of each class for each row of votes; ``given`` is -1 where no label is."""
+        log = np.log(self.shares) + votes @ np.log(self.chances) + (1 - votes) @ np.log1p(-self.chances)
+        answers = np.array([1 - self.fault, *[self.fault] * (len(self.shares) - 1)])
+        agrees = given[:, None] == answers
+        log += np.where(given[:, None] < 0, 0.0, np.log(np.where(agrees, GIVEN_ACCURACY, 1 - GIVEN_ACCURACY)))
+        p = np.exp(log - log.max(axis=1, keepdims=True))
+        return p / p.sum(axis=1, keepdims=True)
 
     def posterior(self, votes: np.ndarray, given: np.ndarray) -> np.ndarray:
-        """Probability of answer one for each row of votes; ``given`` is -1 where no label is."""
-        log = np.log(np.array([1 - self.share, self.share])) + votes @ np.log(self.chances) + (1 - votes) @ np.log1p(-self.chances)
-        right = np.log([GIVEN_ACCURACY, 1 - GIVEN_ACCURACY])
-        log[given == 0] += right
-        log[given == 1] += right[::-1]
-        return 1 / (1 + np.exp(log[:, 0] - log[:, 1]))
+        """Probability of answer one."""
+        sound = self.classes(votes, given)[:, 0]
+        return sound if self.fault == 0 else 1 - sound
+
+    def accuracies(self) -> np.ndarray:
+        """How often each labeller is right, over all classes."""
+        return self.chances[:, 1:] @ self.shares[1:] + (1 - self.chances[:, 0]) * self.shares[0]
 
 
 def estimate(votes: np.ndarray, given: np.ndarray, counts: np.ndarray, fault: int) -> Labellers:
     """Expectation maximisation over vote patterns with counts; ``fault`` is the answer that labellers look for."""
-    chances = np.empty((votes.shape[1], 2))
-    chances[:, fault], chances[:, 1 - fault] = 0.5, 0.02
-    model = Labellers(0.2 if fault else 0.8, chances)
+    labellers = votes.shape[1]
+    chances = np.full((labellers, labellers + 1), 0.1)
+    chances[:, 0] = 0.02
+    chances[np.arange(labellers), np.arange(labellers) + 1] = 0.9
+    model = Labellers(np.array([0.8, *[0.2 / labellers] * labellers]), chances, fault)
     for _ in range(ROUNDS):
-        p = model.posterior(votes, given)
-        weight = np.stack([(1 - p) * counts, p * counts], axis=1)
+        weight = model.classes(votes, given) * counts[:, None]
         total = weight.sum(axis=0)
+        # Each class keeps a little of what it began with, so that one which nothing falls into stays defined.
         model = Labellers(
-            float((total[1] + 1) / (total.sum() + 2)),
-            # A labeller that has not fired yet keeps a small chance to.
-            np.clip((votes.T @ weight + [0.1, 0.1]) / (total + 10), 1e-6, 1 - 1e-6),
+            (total + 0.1) / (total + 0.1).sum(), np.clip((votes.T @ weight + chances) / (total + 1), 1e-6, 1 - 1e-6), fault
         )
     return model
 
@@ -154,8 +171,13 @@ def word_features(word: str) -> list[int]:
     return [zlib.crc32(n.encode()) % HASHED for n in names]
 
 
+def length_feature(text: str) -> int:
+    """Long texts gather words that tell a little by chance: the power of two of the length stands against them."""
+    return zlib.crc32(f"length={min(len(text), SAMPLE_CHARS).bit_length()}".encode()) % HASHED
+
+
 def shape_features(text: str) -> list[int]:
-    return [zlib.crc32(f"{name}={int(8 * min(1.0, share))}".encode()) % HASHED for name, share in shapes(text).items()] + [
+    return [length_feature(text)] + [zlib.crc32(f"{name}={int(8 * min(1.0, share))}".encode()) % HASHED for name, share in shapes(text).items()] + [
         zlib.crc32(f"{name}!".encode()) % HASHED for name, share in shapes(text).items() if share >= FAULTS[name]
     ]
 
@@ -223,10 +245,13 @@ def fit(documents: DataFrame, labels: DataFrame | None = None) -> Scorer | None:
 
 
 def train(rows: list[tuple[int, float, float, bytes]]) -> Scorer:
-    """Logistic regression on soft labels by adaptive gradients, weights shrunk towards zero."""
+    """Logistic regression on soft labels by adaptive gradients, over the features that tell the answers apart."""
     features = [np.frombuffer(r[3], "<i4") for r in rows]
     wanted = np.array([r[1:3] for r in rows]).reshape(-1, len(HEADS))
     scorer = Scorer(np.zeros((HASHED, len(HEADS))), np.zeros(len(HEADS)))
+    used = np.stack([telling(features, wanted[:, h]) for h in range(len(HEADS))], axis=1)
+    used[[length_feature("x" * ((1 << n) - 1)) for n in range(SAMPLE_CHARS.bit_length() + 1)]] = True
+    features = [f[used[f].any(axis=1)] for f in features]
     squares, bias_squares = np.full((HASHED, len(HEADS)), 1e-6), np.full(len(HEADS), 1e-6)
     for _ in range(EPOCHS):
         for at in range(0, len(rows), BATCH_TEXTS):
@@ -237,15 +262,26 @@ def train(rows: list[tuple[int, float, float, bytes]]) -> Scorer:
             error = wanted[at : at + BATCH_TEXTS] - _sigmoid(sums + scorer.bias)
             index, inverse = np.unique(flat, return_inverse=True)
             gradient = np.stack([np.bincount(inverse, error[of_text, h], len(index)) for h in range(len(HEADS))], axis=1)
-            gradient /= len(part)
+            gradient = (gradient / len(part) - PENALTY * scorer.weights[index]) * used[index]
             squares[index] += gradient**2
-            moved = scorer.weights[index] + RATE * gradient / np.sqrt(squares[index] + 1e-3)
-            scorer.weights[index] = np.sign(moved) * np.maximum(0, np.abs(moved) - SHRINK)
+            scorer.weights[index] += RATE * gradient / np.sqrt(squares[index] + 1e-3)
             bias_squares += error.mean(axis=0) ** 2
             scorer.bias += RATE * error.mean(axis=0) / np.sqrt(bias_squares)
     return scorer
 
 
+def telling(features: list[np.ndarray], wanted: np.ndarray) -> np.ndarray:
+    """Which features occur in texts of one answer more than chance explains."""
+    texts = np.repeat(np.arange(len(features)), [len(np.unique(f)) for f in features])
+    flat = np.concatenate([np.unique(f) for f in features])
+    ones = np.bincount(flat, wanted[texts], HASHED)
+    zeros = np.bincount(flat, 1 - wanted[texts], HASHED)
+    all_ones, all_zeros = max(wanted.sum(), 1e-9), max((1 - wanted).sum(), 1e-9)
+    both = (ones + zeros) / len(features)
+    error = np.sqrt(both * (1 - both) * (1 / all_ones + 1 / all_zeros)) + 1e-12
+    return (np.abs(ones / all_ones - zeros / all_zeros) / error >= LEAST_ERRORS) & (ones + zeros >= LEAST_TEXTS)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
