@@ -170,6 +170,16 @@ def test_only_new_products_are_loaded(spark, inputs, tmp_path):
     assert sorted(r.product_name for r in names) == ["Item A", "Item B", "Item C"]
 
 
+def test_another_store_can_take_the_place_of_the_lake(spark, inputs, loaded):
+    lake, topics = loaded
+    store, keys = fresh_dir(spark, "store"), fresh_dir(spark, "keys")
+    endpoint = lambda name: parquet_table(f"{store}/{name}")
+    assert ingest(spark, inputs, keys, topics, "w1", store=jobs.endpoint_sink(endpoint, DAY, "w1"))
+    wide = lambda *a, **o: sorted(map(str, jobs.load_wide(spark, *a, **o).collect()))
+    assert wide(endpoint) == wide(lake) and wide(endpoint, month=7, year=2024, batch="w1") == wide(lake)
+    assert wide(endpoint, month=8) == []
+
+
 def test_any_data_source_can_be_the_sink(spark, loaded):
     lake, topics = loaded
     out = fresh_dir(spark, "sink")

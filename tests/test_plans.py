@@ -11,6 +11,7 @@ from tillworks.operators.builders import build_product, number_products
 from tillworks.operators.latest import latest_by_key
 from tillworks.operators.wide import attach_buyers, attach_products, quality_filter
 from tillworks.plans import adapter
+from tillworks.plans.queries import queries
 from tillworks.session import written
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -38,6 +39,13 @@ def test_reports_shuffle_partial_sums(spark):
         assert "partial_" in plan and "SortAggregate" not in plan
 
 
+def test_dimension_texts_stay_out_of_the_line_shuffle(spark):
+    plan = plan_of(queries()["dim_customer"](spark, SF_DIR))
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(l_orderkey" in line or "o_orderkey" in line]
+    assert moved and not [line for line in moved if "c_name" in line or "c_mktsegment" in line]
+    assert plan.count("c_name:string") == 1
+
+
 def test_quality_rules_reach_the_scan(spark, tmp_path):
     adapter.product(spark, SF_DIR).write.parquet(f"{tmp_path}/product")
     model = spark.read.parquet(f"{tmp_path}/product")

@@ -20,6 +20,16 @@ def _dimension(wide: DataFrame, key: str, *attributes: str) -> DataFrame:
     return wide.select(F.col(key).alias("id"), *attributes).distinct()
 
 
+def used_by(source: DataFrame, wide: DataFrame, key: str) -> DataFrame:
+    """The rows of a table with one row per ``id`` that the sales rows refer to.
+
+    Where the sales rows are not written yet, this moves only ids with the order lines; taking a dimension's texts from
+    the sales rows would move these along.
+    """
+    used = wide.select(F.col(key).alias("id")).distinct()
+    return source.join(used, "id", "left_semi")
+
+
 def dim_product(wide: DataFrame) -> DataFrame:
     return _dimension(
         wide, "product_id", "product_name", "category", "type", "actual_price", "discount_price", "ratings",

@@ -79,8 +79,10 @@ def ingest(
     batch: str,
     price_mode: str = "decimal",
     only_if_new: bool = False,
+    store: Sink | None = None,
 ) -> bool:
-    """Listing files → six lake tables. With ``only_if_new``, only products that no load has brought; False if none.
+    """Listing files → six lake tables, or tables of another ``store``, e.g. of a keyed store through
+    :func:`endpoint_sink`; the lake then keeps the key tables and rejected messages alone. With ``only_if_new``, only products that no load has brought; False if none.
 
     Products, buyers and places keep their ids over all loads, by key tables in the lake. Frames that several tables
     derive from are written once.
@@ -108,7 +110,7 @@ def ingest(
         "address": address,
         "customerAddress": builders.build_customer_address(orders),
     }
-    store, rejects = lake_sink(lake, loaded, batch), lake_rejects(lake, loaded, batch)
+    store, rejects = store or lake_sink(lake, loaded, batch), lake_rejects(lake, loaded, batch)
     for name, frame in frames.items():
         store(LAKE[name], hop(frame, LAKE[name], topics, batch, rejects))
     return True
@@ -128,15 +130,25 @@ def _orders(numbered: DataFrame, customer: DataFrame, address: DataFrame) -> Dat
 
 
 def load_wide(
-    spark: SparkSession, lake: str, month: int | None = None, year: int | None = None, batch: str | None = None
+    spark: SparkSession,
+    lake: str | Callable[[str], Endpoint],
+    month: int | None = None,
+    year: int | None = None,
+    batch: str | None = None,
 ) -> DataFrame:
     """The wide sales table from the last write per key, of all loads or of one month's, year's or batch's.
 
-    It is computed once and written; all tables of a job derive from the written rows.
+    It is computed once and written; all tables of a job derive from the written rows. ``lake`` is a folder, or gives
+    the endpoint of each table in a store that itself keeps the last write per key.
     """
 
     def table(name: str) -> DataFrame:
         declared = LAKE[name]
+        if callable(lake):
+            rows = lake(name).load(spark)
+            for column, wanted in (("load_month", month), ("load_year", year), ("load_batch", batch)):
+                rows = rows if wanted is None else rows.where(F.col(column) == wanted)
+            return declared.conform(rows.select(*declared.columns))
         return read_latest(
             spark, f"{lake}/{name}", declared.schema, declared.key, month=month, year=year, batch=batch
         )

@@ -77,11 +77,20 @@ _over_wide("order_report", reports.order_report)
 _over_wide("customer_report", reports.customer_report)
 _over_wide("fact_order", star.fact_order)
 _over_wide("dim_product", star.dim_product)
-_over_wide("dim_customer", star.dim_customer)
-_over_wide("dim_location", star.dim_location)
 _over_wide("dim_date", lambda rows: star.in_calendar_order(star.dim_date(rows)))
 
 
+@query
+def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    buyers = adapter.customer(spark, sf_dir).select("id", "customer_name", "gender", "email", "segment")
+    return star.used_by(buyers, adapter.wide(spark, sf_dir), "customer_id")
+
+
+@query
+def dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.used_by(adapter.address(spark, sf_dir), adapter.wide(spark, sf_dir), "city_id")
+
+
 @query
 def preview_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = reports.revenue_report(adapter.wide(spark, sf_dir))
