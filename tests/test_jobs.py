@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from pathlib import Path
 
 import pytest
 
@@ -10,7 +11,7 @@ from tillworks.catalog import LAKE, MART, WAREHOUSE
 from tillworks.operators.envelope import encode
 from tillworks.operators.reports import revenue_report
 from tillworks.plans import jobs
-from tillworks.session import fresh_dir
+from tillworks.session import fresh_dir, shared_root
 from tillworks.sources.endpoints import Topic, file_topic, parquet_table
 from tillworks.sources.lake import read_lake
 
@@ -60,6 +61,19 @@ def test_lake_holds_all_source_tables(spark, loaded):
     assert (first.actual_price, first.discount_price, first.ratings, first.no_of_ratings) == (1008, 57, 4.7, 1007)
 
 
+def test_working_tables_go_with_the_load(spark, inputs):
+    lake, topics = fresh_dir(spark, "lake"), fresh_dir(spark, "topics")
+    folder = Path(shared_root(spark), "tillworks")
+    folder.mkdir(parents=True, exist_ok=True)
+    before = set(folder.iterdir())
+    ingest(spark, inputs, lake, topics, "w1")
+    assert {p.name for p in set(folder.iterdir()) - before} == {Path(lake).name, Path(topics).name}
+    wide = jobs.load_wide(spark, lake)
+    left = set(folder.iterdir())
+    jobs.build_mart(wide, lambda name: file_topic(f"{topics}/{name}"), jobs.lake_sink(f"{lake}/mart", DAY, "w1"), "w1")
+    assert set(folder.iterdir()) == left and wide.count() == 31
+
+
 def test_repeated_load_changes_nothing(spark, inputs, loaded):
     lake, topics = loaded
     read = lambda: {n: sorted(read_lake(spark, f"{lake}/{n}", t.schema).collect(), key=str) for n, t in LAKE.items()}

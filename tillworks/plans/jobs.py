@@ -20,7 +20,7 @@ from ..operators.envelope import decode, encode, rejected, without_repeats
 from ..operators.numbering import dense_ids
 from ..operators.stable_keys import new_keys, same_key, stable_ids
 from ..operators.wide import wide_sales
-from ..session import path_exists, written
+from ..session import path_exists, working_tables, written
 from ..sources.endpoints import Endpoint, Topic
 from ..sources.lake import read_latest, stamp, write_batch
 from ..sources.listings import read_cities, read_listings, read_names
@@ -85,8 +85,27 @@ def ingest(
     :func:`endpoint_sink`; the lake then keeps the key tables and rejected messages alone. With ``only_if_new``, only products that no load has brought; False if none.
 
     Products, buyers and places keep their ids over all loads, by key tables in the lake. Frames that several tables
-    derive from are written once.
+    derive from are written once, and go when the load has ended.
     """
+    with working_tables(spark):
+        return _ingest(
+            spark, listing_paths, names_path, cities_path, lake, topics, loaded, batch, price_mode, only_if_new, store
+        )
+
+
+def _ingest(
+    spark: SparkSession,
+    listing_paths: str | list[str],
+    names_path: str,
+    cities_path: str,
+    lake: str,
+    topics: TopicOf,
+    loaded: date,
+    batch: str,
+    price_mode: str,
+    only_if_new: bool,
+    store: Sink | None,
+) -> bool:
     catalog = written(clean_catalog(read_listings(spark, listing_paths), price_mode), "catalog")
     keys = f"{lake}/_keys"
     if only_if_new and path_exists(spark, f"{keys}/product"):
@@ -163,7 +182,8 @@ def load_wide(
 
 def publish_all(frames: dict[str, DataFrame], tables: dict[str, Table], topics: TopicOf, sink: Sink, batch: str):
     for name, frame in frames.items():
-        sink(tables[name], hop(frame, tables[name], topics, batch))
+        with working_tables(frame.sparkSession):
+            sink(tables[name], hop(frame, tables[name], topics, batch))
 
 
 def build_warehouse(wide: DataFrame, topics: TopicOf, sink: Sink, batch: str) -> None:

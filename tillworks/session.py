@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +21,7 @@ RUNTIME_DEFAULTS = {
 }
 
 _local_roots: dict[str, str] = {}
+_working: ContextVar[list[str] | None] = ContextVar("working", default=None)
 
 
 def build_session(app_name: str, master: str | None = None, **extra: str) -> SparkSession:
@@ -51,7 +55,24 @@ def shared_root(spark: SparkSession) -> str:
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_root(spark)}/tillworks/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/tillworks/{label}-{uuid.uuid4().hex}"
+    if (paths := _working.get()) is not None:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables written to the shared folder inside go when the block ends; frames that read them must not leave it."""
+    paths: list[str] = []
+    token = _working.set(paths)
+    try:
+        yield
+    finally:
+        _working.reset(token)
+        for path in paths:
+            fs, hadoop_path = hadoop_fs(spark, path)
+            fs.delete(hadoop_path, True)
 
 
 def hadoop_fs(spark: SparkSession, path: str):
