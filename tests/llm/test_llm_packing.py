@@ -43,7 +43,7 @@ def check(pieces, texts, capacity):
 @pytest.mark.parametrize("fast", [True, False])
 @pytest.mark.parametrize("capacity", [1024, 8])
 def test_awkward_rows(spark, fast, capacity):
-    texts = {i: t for i, t in enumerate(t for _, t in AWKWARD)} | {90: "a<|endoftext|>b", 91: " " * 3000, 92: "\n \t" * 500}
+    texts = {i: t for i, t in enumerate(t for _, t in AWKWARD)} | {90: "a<|endoftext|>b", 91: " " * 3000, 92: "\n \t" * 500, 93: " " * 1_000_000 + "x"}
     ranks = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN) if fast else (None, None)
     pieces = packing.pack(documents(spark, texts.items(), extra=True).repartition(3), VOCABULARY, *ranks, capacity).collect()
     check(pieces, texts, capacity)

@@ -56,7 +56,10 @@ class Encoder:
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is None or any(s in text for s in self.special):
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
-        return self.fast.encode_to_numpy(text).astype(np.uint32, copy=False)
+        try:
+            return self.fast.encode_to_numpy(text).astype(np.uint32, copy=False)
+        except ValueError:  # its expression gives up on white space of some hundred thousand characters
+            return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def cuts(tokens: int, capacity: int = CAPACITY) -> Iterator[tuple[int, int]]:
