@@ -101,10 +101,6 @@ def in_order(spans: list[Span]) -> list[Span]:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def _overlaps(start: int, end: int, spans: list[Span]) -> bool:
-    return any(s < end and start < e for _, s, e in spans)
-
-
 def candidates(text: str, known: list[Span]) -> Iterator[tuple[int, int]]:
     """Spans of tokens that look like identifiers and touch no known span."""
     # Both are in order of their starts; known spans of different kinds may overlap, so the furthest end counts.
@@ -231,10 +227,9 @@ def with_added(documents: DataFrame) -> DataFrame:
 
 
 def spans_of(text: str | None, added: list[dict] | None) -> tuple[list[Span], list[Span]]:
-    """(seeds, all spans) of a text."""
+    """(seeds, all spans) of a text; added spans touch no seed, as only such tokens are candidates."""
     base = seeds(text)
-    more = [(a["kind"], a["start"], a["end"]) for a in added or ()]
-    return base, in_order([*base, *(s for s in more if not _overlaps(s[1], s[2], base))])
+    return base, in_order([*base, *((a["kind"], a["start"], a["end"]) for a in added or ())])
 
 
 def find_pii(documents: DataFrame) -> DataFrame:
