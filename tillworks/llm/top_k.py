@@ -28,11 +28,11 @@ from ..session import fresh_dir
 K = 5
 SCALE = 256
 #: Candidates in the sorted lists of one block.
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 16384
 #: Queries that are sent to the tasks at a time.
 QUERY_ROWS = 4096
 #: Shares of the lists that have been read when the bounds are compared.
-LOOKS = (1 / 8, 1 / 4, 1 / 2, 3 / 4)
+LOOKS = (1 / 2, 3 / 4)
 #: Reading stops when at most this share of a block may still qualify.
 FEW = 1 / 16
 #: Doubles hold integers below this exactly.
@@ -49,24 +49,33 @@ def integer_vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
 
 
 class Lists:
-    """The sorted lists of one block of candidates."""
+    """The sorted lists of one block of candidates: for each component, ascending and descending."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids = ids
         self.vectors = vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable").T.copy()
-        self.sorted = np.take_along_axis(vectors.T, self.order, axis=1)
+        ascending = np.argsort(vectors, axis=0, kind="stable").T
+        self.order = np.stack([ascending, ascending[:, ::-1]])
+        self.sorted = np.take_along_axis(np.broadcast_to(vectors.T, self.order.shape), self.order, axis=2).astype(np.float64)
+        # Where a candidate stands in each list.
+        self.place = np.argsort(self.order, axis=2).astype(np.int32)
         self.largest = float(np.abs(vectors).max(initial=0))
+        self.doubles = vectors.astype(np.float64)
 
     def top(self, query_id: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
         """The k best (score, vec_id) by score, then smaller id."""
         alive = np.flatnonzero(self.ids != query_id)
+        if not len(alive):
+            return []
         if self.largest * float(np.abs(query).sum()) < EXACT:
             alive = self.survivors(alive, query.astype(np.float64), k)
-            scores = (self.vectors[alive].astype(np.float64) @ query.astype(np.float64)).astype(np.int64).tolist()
+            scores = (self.doubles[alive] @ query.astype(np.float64)).astype(np.int64)
+            if len(alive) > k:
+                best = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+                alive, scores = alive[best], scores[best]
         else:
-            scores = (self.vectors[alive].astype(object) @ query.astype(object)).tolist() if len(alive) else []
-        return sorted(zip(scores, self.ids[alive].tolist(), strict=True), key=lambda x: (-x[0], x[1]))[:k]
+            scores = self.vectors[alive].astype(object) @ query.astype(object)
+        return sorted(zip(scores.tolist(), self.ids[alive].tolist(), strict=True), key=lambda x: (-x[0], x[1]))[:k]
 
     def survivors(self, alive: np.ndarray, query: np.ndarray, k: int) -> np.ndarray:
         """Candidates that may be among the k best once the lists are read far enough."""
@@ -74,26 +83,23 @@ class Lists:
         if len(alive) <= k or not len(lists):
             return alive
         weight = query[lists]
-        least = np.minimum(weight * self.sorted[lists, 0], weight * self.sorted[lists, -1])
-        seen = np.zeros((len(lists), n), bool)
-        known = np.zeros(n)
-        unread = np.full(n, least.sum())
+        # The list that begins with the largest products.
+        way = (weight > 0).astype(int)
+        least = weight * self.sorted[way, lists, -1]
+        lower = np.full(n, least.sum())
+        place = self.place[way, lists]
         read = 0
         for look in LOOKS:
             stop = max(1, int(n * look))
-            edge = np.empty(len(lists))
-            for j, (d, w) in enumerate(zip(lists.tolist(), weight.tolist(), strict=True)):
-                part = slice(n - stop, n - read) if w > 0 else slice(read, stop)
-                rows = self.order[d, part]
-                known[rows] += w * self.sorted[d, part]
-                unread[rows] -= least[j]
-                seen[j, rows] = True
-                edge[j] = w * self.sorted[d, n - stop if w > 0 else stop - 1]
+            rows = self.order[way, lists, read:stop]
+            gains = weight[:, None] * self.sorted[way, lists, read:stop] - least[:, None]
+            lower += np.bincount(rows.ravel(), gains.ravel(), n)
+            # What an unread component can add to the least: the product at which its list stands.
+            most = weight * self.sorted[way, lists, stop - 1] - least
+            upper = lower + most @ (place >= stop)
             read = stop
-            lower = (known + unread)[alive]
-            upper = (known + edge.sum() - edge @ seen)[alive]
-            kth = np.partition(lower, len(lower) - k)[len(lower) - k]
-            alive = alive[upper >= kth]
+            kth = np.partition(lower[alive], len(alive) - k)[len(alive) - k]
+            alive = alive[upper[alive] >= kth]
             if len(alive) <= max(4 * k, n * FEW):
                 break
         return alive
