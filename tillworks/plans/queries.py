@@ -440,7 +440,8 @@ def envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic.publish(encode(events, "b1"))
     path = fresh_dir(spark, "stream-table")
     stream = topic_to_table(
-        spark, topic, events.schema, path, ["user_id"], ["ts", "event_id"], fresh_dir(spark, "stream-progress"), ["b1"]
+        spark, topic, events.schema, path, ["user_id"], ["ts", "event_id"], fresh_dir(spark, "stream-progress"), ["b1"],
+        buckets=8,
     )
     stream.awaitTermination()
     return read_table(spark, path, events.schema)
