@@ -277,7 +277,7 @@ def telling(features: list[np.ndarray], wanted: np.ndarray) -> np.ndarray:
     ones = np.bincount(flat, wanted[texts], HASHED)
     zeros = np.bincount(flat, 1 - wanted[texts], HASHED)
     all_ones, all_zeros = max(wanted.sum(), 1e-9), max((1 - wanted).sum(), 1e-9)
-    both = (ones + zeros) / len(features)
+    both = np.minimum(1.0, (ones + zeros) / len(features))
     error = np.sqrt(both * (1 - both) * (1 / all_ones + 1 / all_zeros)) + 1e-12
     return (np.abs(ones / all_ones - zeros / all_zeros) / error >= LEAST_ERRORS) & (ones + zeros >= LEAST_TEXTS)
 
