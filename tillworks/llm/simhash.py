@@ -152,11 +152,16 @@ def near_duplicates(documents: DataFrame, words: int = SHINGLE_WORDS, radius: in
 
 
 def keep_first(documents: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """One row of each component, all columns: that with the smallest id, then the smallest text hash.
+    """One row of each component, all columns: see ``keep_least``."""
+    return keep_least(documents, near_duplicates(documents, words, radius))
+
+
+def keep_least(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of each ``root`` of ``found`` (doc_id, text_hash, root), all columns: that with the smallest id, then the
+    smallest text hash.
 
     Rows without id come after all others. Of rows equal in id and text, any one stays.
     """
-    found = near_duplicates(documents, words, radius)
     copies = found.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")
     kept = written(copies.groupBy("root").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_hash", "k.n"), "kept")
