@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import near_copies, pii, quality, wu_manber
+from tillworks.llm import pii, quality, simhash, wu_manber
 from tillworks.llm.common import table
 from tillworks.llm.queries import pack_documents
 from tillworks.session import written
@@ -28,12 +28,12 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group that pairs of similarity 0.8 on five-word shingles connect.
+    """The document with the smallest id of each group of near duplicates, by the fingerprints and bits of op10.
 
     Of rows that share that id one stays. Rows without id cannot be told apart from others: they stay if no row of
     their group has an id, else the one with the id does.
     """
-    return near_copies.keep_first(docs)
+    return simhash.keep_first(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", quality_filter),
-    ("shingle near-dedup", near_duplicates),
+    ("SimHash near-dedup", near_duplicates),
     ("benchmark decontamination", decontaminate),
     ("PII", mask_pii),
     ("packing", pack),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import chat, crf, packing, pii, quality, simhash, token_counts, top_k, warc, wu_manber
+from . import chat, codes, collocations, crf, packing, pii, quality, simhash, sketches, token_counts, top_k, warc, wu_manber
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,12 +117,32 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_marginal_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_dual_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    books = codes.fit(rows)
+    coded = codes.with_label_errors(codes.encode(rows, books))
+    code = F.array_join(F.transform("code", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return coded.select("vec_id", code.alias("code"), "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op13_bloom_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sketches.half_edits(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "edited_cells", "next_cells"
+    )
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
     named = [
         op1_wu_manber_decontamination, op2_bootstrapped_pii, op3_chat_state_machine, op4_crf_language, op5_warc_source,
         op6_weak_label_quality, op7_harmonic_packing, op8_threshold_top_k, op9_viterbi_token_counts, op10_covering_simhash,
+        op11_marginal_collocations, op12_dual_tree_codes, op13_bloom_fingerprints,
     ]
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
@@ -224,6 +244,84 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+_OP11 = f"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, {_SMALL_LETTERS.format("coalesce(text, '')")} AS said FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words
+  FROM (SELECT lang, unnest(string_split_regex(said, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts)
+), grams AS (
+  SELECT lang, size, array_to_string(list_slice(words, spot, spot + size - 1), ' ') AS phrase
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS spot
+        FROM pieces, (SELECT unnest(range(1, 6)) AS size) WHERE len(words) >= size)
+), counts AS (
+  SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT *, string_split(phrase, ' ') AS words FROM counts WHERE size >= 2 AND a >= 100
+), cuts AS (
+  SELECT c.lang, c.size, c.phrase, c.a, c.k, first.a AS l, rest.a AS r, n,
+         CAST(1000::HUGEINT * c.a * n // (first.a::HUGEINT * rest.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN counts first ON first.lang = c.lang AND first.phrase = array_to_string(list_slice(words, 1, k), ' ')
+  JOIN counts rest ON rest.lang = c.lang AND rest.phrase = array_to_string(list_slice(words, k + 1, c.size), ' ')
+  JOIN totals ON totals.lang = c.lang
+), weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest w
+  WHERE NOT EXISTS (
+    SELECT 1 FROM candidates o
+    WHERE o.lang = w.lang AND o.size > w.size AND 100 * o.a >= 100 * w.a
+      AND contains(' ' || o.phrase || ' ', ' ' || w.phrase || ' '))
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
+def _lloyd_rounds(rounds: int) -> str:
+    steps = []
+    for step in range(rounds + 1):
+        steps.append(f"""assigned{step} AS (
+  SELECT vec_id, label, p.part, arg_min(b.entry, ROW(d, b.entry)) AS entry, min(d) AS d, any_value(p.v) AS v
+  FROM parts p JOIN books{step} b USING (part), LATERAL (SELECT CAST(list_sum(
+    list_transform(list_zip(p.v, b.v), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS BIGINT) AS d)
+  GROUP BY vec_id, label, p.part
+)""")
+        if step < rounds:
+            steps.append(f"""moved{step} AS (
+  SELECT part, entry, list(f ORDER BY spot) AS v
+  FROM (SELECT part, entry, spot, CAST(floor(sum(v[spot]) / count(*)) AS BIGINT) AS f
+        FROM assigned{step}, (SELECT unnest(range(1, 1 + (SELECT max(len(v)) FROM parts))) AS spot) GROUP BY ALL)
+  GROUP BY part, entry
+), books{step + 1} AS (
+  SELECT part, entry, coalesce(m.v, b.v) AS v FROM books{step} b LEFT JOIN moved{step} m USING (part, entry)
+)""")
+    return ",\n".join(steps)
+
+
+_OP12 = f"""
+WITH vectors AS (
+  SELECT vec_id, label, [CAST(floor(256 * x::DOUBLE) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)
+), parts AS (
+  SELECT vec_id, label, part, list_slice(v, part * (len(v) // 16) + 1, (part + 1) * (len(v) // 16)) AS v
+  FROM vectors, (SELECT unnest(range(16)) AS part)
+), books0 AS (
+  SELECT part, entry, v FROM parts JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM vectors ORDER BY vec_id LIMIT 64
+  ) USING (vec_id)
+), {_lloyd_rounds(2)}, coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM assigned2 GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) FROM books2) AS codebooks_sha256
+FROM coded
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
@@ -232,5 +330,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_chat_state_machine": _op3(),
         "op5_warc_source": _OP5,
         "op8_threshold_top_k": _OP8,
+        "op11_marginal_collocations": _OP11,
+        "op12_dual_tree_codes": _OP12,
     }
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -152,16 +152,12 @@ def near_duplicates(documents: DataFrame, words: int = SHINGLE_WORDS, radius: in
 
 
 def keep_first(documents: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """One row of each component, all columns: see ``keep_least``."""
-    return keep_least(documents, near_duplicates(documents, words, radius))
+    """One row of each component, all columns: that with the smallest id, then the smallest text hash.
 
-
-def keep_least(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """One row of each ``root`` of ``found`` (doc_id, text_hash, root), all columns: that with the smallest id, then the
-    smallest text hash.
-
-    Rows without id come after all others. Of rows equal in id and text, any one stays.
+    Rows without id come after all others. Of rows equal in id and text, that whose JSON is the least stays, so a task
+    that is repeated chooses the same.
     """
+    found = near_duplicates(documents, words, radius)
     copies = found.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")
     kept = written(copies.groupBy("root").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_hash", "k.n"), "kept")
@@ -171,5 +167,5 @@ def keep_least(documents: DataFrame, found: DataFrame) -> DataFrame:
     single = rows.join(kept.filter("n = 1").alias("k"), same, "left_semi").select(*columns)
     # Equal rows: rare by nature, and reduced to one per task before they move.
     row = F.struct(*columns)
-    repeated = rows.join(kept.filter("n > 1").alias("k"), same).groupBy("k.doc_id", "k.text_hash").agg(F.first(row).alias("row"))
+    repeated = rows.join(kept.filter("n > 1").alias("k"), same).groupBy("k.doc_id", "k.text_hash").agg(F.min_by(row, F.to_json(row)).alias("row"))
     return single.unionAll(repeated.select(*(F.col(f"row.`{c}`") for c in documents.columns)))
