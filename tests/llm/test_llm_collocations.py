@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import pytest
+from llm_data import AWKWARD, documents
+from parity import compare, duck
+
+from tillworks.llm import collocations, queries
+from tillworks.llm.common import table
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def brute(rows, longest=5, least=100, covered=100, top=2000):
+    """Rows (lang, text) → rows as the operator returns them, by counting all phrases of every length."""
+    total, counts = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        small = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", small):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            total[lang] += len(words)
+            counts.update((lang, tuple(words[i : i + k])) for k in range(1, longest + 1) for i in range(len(words) - k + 1))
+    frequent = {key: a for key, a in counts.items() if len(key[1]) > 1 and a >= least}
+    out = []
+    for (lang, words), a in frequent.items():
+        inside = any(
+            o == lang and len(w) > len(words) and 100 * b >= covered * a
+            and any(w[i : i + len(words)] == words for i in range(len(w) - len(words) + 1))
+            for (o, w), b in frequent.items()
+        )
+        if not inside:
+            cuts = []
+            for k in range(1, len(words)):
+                left, right = counts[lang, words[:k]], counts[lang, words[k:]]
+                cuts.append((1000 * a * total[lang] // (left * right), k, left, right))
+            score, _, left, right = min(cuts)
+            out.append((lang, " ".join(words), a, left, right, total[lang], score))
+    ranked = []
+    for lang in {r[0] for r in out}:
+        best = sorted((r for r in out if r[0] == lang), key=lambda r: (-r[6], -r[2], r[1].encode()))[:top]
+        ranked += [(lang, n + 1, *r[1:]) for n, r in enumerate(best)]
+    return sorted(ranked)
+
+
+def ours(df, **options):
+    return sorted(map(tuple, collocations.collocations(df, **options).collect()))
+
+
+def rows(spark, pairs):
+    return spark.createDataFrame(pairs, "lang string, text string")
+
+
+@pytest.mark.parametrize("bits", [6, 14, 25])
+def test_random_texts_equal_brute_force_however_full_the_buckets(spark, bits):
+    draw = random.Random(1)
+    words = ["a", "b", "B", "c", "dd", "é", "日本"]
+    texts = [
+        (draw.choice(["x", "y", None, "und"]), "".join(draw.choice(words) + draw.choice([" ", " ", "\t", "  ", ". ", "\r\n", ","]) for _ in range(120)))
+        for _ in range(60)
+    ]
+    for least, covered, top in ((4, 100, 2000), (9, 60, 7)):
+        expected = brute(texts, 5, least, covered, top)
+        assert expected
+        assert ours(rows(spark, texts).repartition(3), least=least, covered=covered, top=top, bits=bits) == expected
+    assert ours(rows(spark, texts), longest=3, least=4) == brute(texts, 3, 4)
+
+
+def test_awkward_texts(spark):
+    assert ours(documents(spark, AWKWARD, extra=True), least=2) == brute([("en", t) for _, t in AWKWARD], least=2)
+    assert ours(documents(spark, [])) == []
+    nothing = rows(spark, [(None, None), (None, ""), ("x", " .,\t"), ("x", "one")])
+    assert ours(nothing, least=1) == []
+
+
+def test_scores_beyond_64_bits(spark):
+    """Counts whose products do not fit are divided exactly."""
+    counts = spark.createDataFrame([("x", None, 4_000_000_000_007), ("x", "a", 3_000_000_000_001), ("x", "b", 2_000_000_000_003), ("x", "a b", 1_999_999_999_999)], "lang string, phrase string, a long")
+    real = collocations.phrases
+    collocations.phrases = lambda *_: counts
+    try:
+        (row,) = collocations.collocations(rows(spark, [])).collect()
+    finally:
+        collocations.phrases = real
+    assert row.score == 1000 * 1_999_999_999_999 * 4_000_000_000_007 // (3_000_000_000_001 * 2_000_000_000_003)
+
+
+def test_windows_are_counted_once_and_phrases_come_from_a_rollup(spark):
+    from parity import plan_of
+
+    docs = table(spark, SF_DIR, "documents")
+    plan = plan_of(collocations.phrases(docs, bits=10))
+    assert plan.count("Generate inline") == 1 and "Expand" in plan and "Python" not in plan
+
+
+def test_query_equals_sql(spark):
+    name = "op11_marginal_collocations"
+    sf_dir = "/root/testdata/sf0.01"
+    found, problems = compare(queries.queries()[name](spark, sf_dir), duck(sf_dir), queries.oracle_sql()[name])
+    assert found and not problems
