@@ -13,6 +13,8 @@ class Table:
     name: str
     ddl: str
     key: tuple[str, ...]
+    #: Of a dimension: what names the thing that its versions describe.
+    identity: tuple[str, ...] = ()
 
     @property
     def schema(self) -> StructType:
@@ -83,19 +85,23 @@ WAREHOUSE = {
             " discount_price BIGINT, ratings DOUBLE, no_of_ratings BIGINT, link STRING, image STRING,"
             " quantity_sold INT, inv_quantity INT, delivery_status STRING",
             ("id", "delivery_status", "quantity_sold", "inv_quantity"),
+            ("id", "delivery_status"),
         ),
         Table(
             "dimCustomer",
             "id BIGINT, customer_name STRING, gender STRING, email STRING, segment STRING",
             ("id",),
+            ("id",),
         ),
         # Spelled as published, so that existing consumers find it.
-        Table("dimDiliveryLocation", "id BIGINT, city STRING, state STRING, country STRING", ("id",)),
+        Table("dimDiliveryLocation", "id BIGINT, city STRING, state STRING, country STRING", ("id",), ("id",)),
         Table(
             "dimDate",
             "timeuuid STRING, year INT, quarter INT, quarter_name STRING, month INT, month_name STRING,"
             " day INT, weekday_name STRING",
             ("timeuuid",),
+            # An order ships on several days where its lines do.
+            ("timeuuid", "year", "month", "day"),
         ),
     )
 }

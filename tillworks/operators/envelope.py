@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,11 +34,6 @@ def encode(df: DataFrame, batch: str, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def without_repeats(messages: DataFrame) -> DataFrame:
-    """Each message once, however often the transport delivered it."""
-    return messages.dropDuplicates(["batch", "number"])
-
-
 def _row(schema: StructType) -> Column:
     return F.from_json(F.col("value").cast("string"), schema, JSON_OPTIONS)
 
@@ -51,17 +46,34 @@ def _has_key(row: Column, schema: StructType, keys: Sequence[str]) -> Column:
     return F.coalesce(*(row[k].cast("string") for k in keys or [schema[0].name]), F.lit(None).cast("string")).isNotNull()
 
 
+def _accepted(schema: StructType, keys: Sequence[str]) -> Column:
+    """An array of a message's row, empty where it has no key: as a filter, the test would be pushed below the
+    projection and parse every message a second time."""
+    return F.filter(F.array(_row(schema)), lambda row: _has_key(row, schema, keys))
+
+
 def decode(
     messages: DataFrame, schema: StructType, batch: str | None = None, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Typed rows of one batch (or of all); a message without any of its ``keys``, by default its first field, is left
-    to :func:`rejected`.
+    to :func:`rejected`."""
+    return _of_batch(messages, batch).select(F.inline(_accepted(schema, keys)))
 
-    The test sits inside the generator: as a filter it would be pushed below the projection and parse every
-    message a second time.
+
+def decode_counted(
+    messages: DataFrame, schema: StructType, batch: str | None = None, keys: Sequence[str] = ()
+) -> tuple[DataFrame, Observation]:
+    """The rows of :func:`decode`, and the numbers of ``received`` and ``rejected`` messages, which are known once the
+    rows have been written.
+
+    They are counted in the tasks that write, so a write whose rows are shuffled again counts what those tasks see.
     """
-    accepted = F.filter(F.array(_row(schema)), lambda row: _has_key(row, schema, keys))
-    return _of_batch(messages, batch).select(F.inline(accepted))
+    counts = Observation()
+    parsed = _of_batch(messages, batch).select(_accepted(schema, keys).alias("accepted"))
+    observed = parsed.observe(
+        counts, F.count(F.lit(1)).alias("received"), F.count_if(F.size("accepted") == 0).alias("rejected")
+    )
+    return observed.select(F.inline("accepted")), counts
 
 
 def rejected(

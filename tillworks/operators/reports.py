@@ -1,12 +1,16 @@
 """Revenue, order and customer reports from the wide sales row.
 
-All are single hash aggregations with map-side partial sums, so a group that holds a third of the rows still
-moves one row per task. Averages divide exact sums, of integers or decimals, which makes the rounded result
-independent of row order.
+Each report is a single hash aggregation with map-side partial sums, so a group that holds a third of the rows still
+moves one row per task. What is aggregated are sums of integers or exact decimals and counts; averages and ratios are
+taken from these afterwards. The sums of several loads therefore add up to those of all their rows, and rounded results
+are independent of row order and of how rows came in loads.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,62 +18,141 @@ from ..functions import measures as m
 from ..functions.dates import days_between
 
 RATING_TYPE = "decimal(20,10)"
+MEAN_RATING_TYPE = "decimal(24,14)"
 # A mean rate this close above a whole number (in decimals) counts as whole: the rates' own decimals end at the 14th.
 RATE_DECIMALS = 12
+#: Sums of decimals keep this type however often they are added up.
+SUM_TYPES = {"ratings_sum": "decimal(30,10)", "rate_sum": "decimal(36,16)"}
+#: Sales rows in a group.
+ROWS = "group_rows"
 
 
-def _period() -> list[Column]:
+def _period() -> dict[str, Column]:
     """Month and year of shipping, quarter of ordering."""
     shipped = F.col("ship_date")
-    return [F.month(shipped).alias("month"), F.col("quarter"), F.year(shipped).alias("year")]
+    return {"month": F.month(shipped), "quarter": F.col("quarter"), "year": F.year(shipped)}
+
+
+@dataclass(frozen=True)
+class Report:
+    """A report as sums and counts by group (``sums``, from columns of wide rows) and what is shown of them (``shown``)."""
+
+    name: str
+    groups: tuple[str, ...]
+    sums: Callable[[], dict[str, Column]]
+    shown: Callable[[], dict[str, Column]]
+    prepared: Callable[[DataFrame], DataFrame] = lambda wide: wide
 
+    def states(self, wide: DataFrame) -> DataFrame:
+        """One row per group with its sums, counts and number of rows."""
+        period = _period()
+        groups = [period.get(g, F.col(g)).alias(g) for g in self.groups]
+        sums = {**self.sums(), ROWS: F.count(F.lit(1))}
+        return self.prepared(wide).groupBy(*groups).agg(*(c.cast(self._type(n)).alias(n) for n, c in sums.items()))
 
-def _mean_rating() -> Column:
-    return F.round(F.avg(F.col("ratings").cast(RATING_TYPE)), 2).cast("double")
+    def merged(self, states: DataFrame) -> DataFrame:
+        """The states of several loads as one row per group."""
+        names = [c for c in states.columns if c not in self.groups]
+        return states.groupBy(*self.groups).agg(*(F.sum(n).cast(self._type(n)).alias(n) for n in names))
+
+    def finished(self, states: DataFrame) -> DataFrame:
+        return states.select(*self.groups, *(c.alias(n) for n, c in self.shown().items()))
+
+    def __call__(self, wide: DataFrame) -> DataFrame:
+        return self.finished(self.states(wide))
+
+    @staticmethod
+    def _type(name: str) -> str:
+        return SUM_TYPES.get(name, "bigint")
 
 
 def _total(column: str) -> Column:
-    return F.sum(F.col(column).cast("bigint")).alias(column)
+    return F.sum(F.col(column).cast("bigint"))
+
+
+def _mean(name: str) -> Column:
+    return F.col(f"{name}_sum") / F.col(f"{name}_count")
+
+
+def _exact_mean(name: str, kind: str) -> Column:
+    return (F.col(f"{name}_sum") / F.col(f"{name}_count").cast("decimal(20,0)")).cast(kind)
+
+
+def _with_count(name: str, value: Column) -> dict[str, Column]:
+    return {f"{name}_sum": F.sum(value), f"{name}_count": F.count(value)}
+
+
+_TOTALS = ("no_of_ratings", "quantity_sold", "projected_income", "income", "inv_quantity", "inv_value")
+
+
+def _revenue_sums() -> dict[str, Column]:
+    return {
+        **_with_count("ratings", F.col("ratings").cast(RATING_TYPE)),
+        **_with_count("disc_price", F.col("discount_price")),
+        **_with_count("act_price", F.col("actual_price")),
+        **_with_count("rate", m.discount_rate()),
+        **{name: _total(name) for name in _TOTALS},
+    }
+
+
+def _revenue_shown() -> dict[str, Column]:
+    return {
+        "ratings": F.round(_exact_mean("ratings", MEAN_RATING_TYPE), 2).cast("double"),
+        "no_of_ratings": F.col("no_of_ratings"),
+        "avg_disc_price": F.round(_mean("disc_price"), 2),
+        "avg_act_price": F.round(_mean("act_price"), 2),
+        "avg_disc_rate": F.ceil(F.round(_exact_mean("rate", "decimal(30,16)"), RATE_DECIMALS)).cast("bigint"),
+        **{name: F.col(name) for name in _TOTALS[1:]},
+    }
+
+
+def _order_sums() -> dict[str, Column]:
+    status = F.col("delivery_status")
+    return {
+        **_with_count("spending", m.spending()),
+        **_with_count("processing", days_between(F.col("order_date"), F.col("ship_date"))),
+        "canceled_order": F.count_if(status == "Undelivered"),
+        "total_order": F.count(status),
+    }
+
+
+def _order_shown() -> dict[str, Column]:
+    canceled, known = F.col("canceled_order"), F.col("total_order")
+    return {
+        "avg_spending": F.round(_mean("spending"), 2),
+        "processing_time": F.round(_mean("processing"), 2),
+        "canceled_order": canceled,
+        "total_order": known,
+        "cancellation_rate": F.when(known > 0, F.round(canceled * 100 / known, 2)),
+    }
+
+
+def _customer_shown() -> dict[str, Column]:
+    orders = F.col("total_orders")
+    return {"loyal_customer": F.when(orders > 1, "True").otherwise("False"), "total_orders": orders}
+
+
+REVENUE = Report(
+    "revenue_table", ("category", "type", "city", "state", "month", "quarter", "year"), _revenue_sums, _revenue_shown,
+    m.add_measures,
+)
+ORDERS = Report("order_table", ("order_id", "city", "state", "month", "quarter", "year"), _order_sums, _order_shown)
+CUSTOMERS = Report(
+    "customer_table", ("customer_id", "gender", "segment", "city", "state", "month", "quarter", "year"),
+    lambda: {"total_orders": F.count("customer_id")}, _customer_shown,
+)
 
 
 def revenue_report(wide: DataFrame) -> DataFrame:
-    return (
-        m.add_measures(wide)
-        .groupBy("category", "type", "city", "state", *_period())
-        .agg(
-            _mean_rating().alias("ratings"),
-            _total("no_of_ratings"),
-            F.round(F.avg("discount_price"), 2).alias("avg_disc_price"),
-            F.round(F.avg("actual_price"), 2).alias("avg_act_price"),
-            F.ceil(F.round(F.avg(m.discount_rate()), RATE_DECIMALS)).cast("bigint").alias("avg_disc_rate"),
-            _total("quantity_sold"),
-            _total("projected_income"),
-            _total("income"),
-            _total("inv_quantity"),
-            _total("inv_value"),
-        )
-    )
+    return REVENUE(wide)
 
 
 def order_report(wide: DataFrame) -> DataFrame:
-    status = F.col("delivery_status")
-    canceled = F.count_if(status == "Undelivered")
-    known = F.count(status)
-    return wide.groupBy("order_id", "city", "state", *_period()).agg(
-        F.round(F.avg(m.spending()), 2).alias("avg_spending"),
-        F.round(F.avg(days_between(F.col("order_date"), F.col("ship_date"))), 2).alias("processing_time"),
-        canceled.alias("canceled_order"),
-        known.alias("total_order"),
-        F.when(known > 0, F.round(canceled * 100 / known, 2)).alias("cancellation_rate"),
-    )
+    return ORDERS(wide)
 
 
 def customer_report(wide: DataFrame) -> DataFrame:
-    orders = F.count("customer_id")
-    return wide.groupBy("customer_id", "gender", "segment", "city", "state", *_period()).agg(
-        F.when(orders > 1, "True").otherwise("False").alias("loyal_customer"),
-        orders.alias("total_orders"),
-    )
+    return CUSTOMERS(wide)
 
 
 # The order in which each report is displayed. Stored reports stay unsorted: a sort before a topic or table is lost.

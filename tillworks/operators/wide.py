@@ -17,15 +17,19 @@ def attach_buyers(orders: DataFrame, customer: DataFrame, address: DataFrame) ->
     )
 
 
+def stocked(product: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Products (``product_id``, …) with their stock."""
+    return product.withColumnRenamed("id", "product_id").join(
+        inventory.withColumnRenamed("id", "inventory_id"), "inventory_id"
+    )
+
+
 def attach_products(orders: DataFrame, product: DataFrame, inventory: DataFrame) -> DataFrame:
     """Orders with their product and its stock.
 
     Orders that carry a ``product_id`` join on it; otherwise the product row names its order.
     """
-    stocked = product.withColumnRenamed("id", "product_id").join(
-        inventory.withColumnRenamed("id", "inventory_id"), "inventory_id"
-    )
-    return orders.join(stocked, "product_id" if "product_id" in orders.columns else "order_id")
+    return orders.join(stocked(product, inventory), "product_id" if "product_id" in orders.columns else "order_id")
 
 
 def join_sales(

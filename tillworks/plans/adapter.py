@@ -166,14 +166,19 @@ def address(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The joined sales rows before the quality filter.
+def placed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with header, buyer and place.
 
     Buyers and places are attached to the order headers, before these fan out to their lines: the lines are
     shuffled by order and by product only, never by customer.
     """
     headers = attach_buyers(order_headers(spark, sf_dir), customer(spark, sf_dir), address(spark, sf_dir))
-    lines = order_lines(spark, sf_dir, headers)
+    return order_lines(spark, sf_dir, headers)
+
+
+def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined sales rows before the quality filter."""
+    lines = placed_lines(spark, sf_dir)
     return attach_products(lines, product(spark, sf_dir), inventory(spark, sf_dir)).select(*WIDE_COLUMNS)
 
 

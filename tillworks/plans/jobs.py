@@ -10,48 +10,60 @@ import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import LAKE, MART, WAREHOUSE, Table
 from ..operators import builders, reports, star
 from ..operators.catalog_clean import TRIPLE, clean_catalog
-from ..operators.envelope import decode, encode, rejected, without_repeats
+from ..operators.envelope import encode
 from ..operators.numbering import dense_ids
-from ..operators.stable_keys import new_keys, same_key, stable_ids
+from ..operators.stable_keys import keys_not_stored, same_key, stable_ids
 from ..operators.wide import wide_sales
 from ..session import path_exists, working_tables, written
 from ..sources.endpoints import Endpoint, Topic
+from ..sources.history import write_versions
 from ..sources.lake import read_latest, stamp, write_batch
 from ..sources.listings import read_cities, read_listings, read_names
+from ..streaming.envelope_stream import land_attempt
 
 TopicOf = Callable[[str], Topic]
 Sink = Callable[[Table, DataFrame], None]
 
 
-def hop(rows: DataFrame, table: Table, topics: TopicOf, batch: str, rejects: Sink | None = None) -> DataFrame:
+def hop(
+    rows: DataFrame,
+    table: Table,
+    topics: TopicOf,
+    batch: str,
+    rejects: Sink | None = None,
+    progress: str | None = None,
+) -> DataFrame:
     """Publish one batch of a table and take it from the topic again, typed as declared.
 
     Each attempt at a batch sends under an id of its own, so one that failed half-way leaves nothing behind
-    for the next. Where the transport may repeat messages, repeats are told by their number. What comes back is
-    counted against what was sent: messages that cannot be decoded go to ``rejects``, and the batch fails without it, or
-    if any message is missing.
+    for the next. Where the transport may repeat messages, repeats are told by their number. Below ``progress``, a folder
+    that stays from load to load, it is kept how far each topic has been read, and a hop reads what came after that;
+    without it, the whole topic. Messages are counted by the passes that send and that store them: those that cannot be
+    decoded go to ``rejects``, and the batch fails without it, or if any message is missing.
     """
     topic = topics(table.name)
     attempt = f"{batch}-{uuid.uuid4().hex}"
-    sent = written(table.conform(rows), f"sent-{table.name}")
-    topic.publish(encode(sent, attempt, table.key))
-    messages = topic.consume(rows.sparkSession)
-    if topic.may_repeat:
-        messages = without_repeats(messages.where(F.col("batch") == attempt))
-    received = written(decode(messages, table.schema, attempt, table.key), f"received-{table.name}")
-    missing = sent.count() - received.count()
-    if missing:
-        bad = written(rejected(messages, table.schema, attempt, table.key), f"rejected-{table.name}")
-        if bad.count() != missing or rejects is None:
-            raise RuntimeError(f"{table.name}: {missing} of the messages of {attempt} did not come back as rows")
-        rejects(table, bad)
-    return received
+    counts = Observation()
+    sent = encode(written(table.conform(rows), f"sent-{table.name}"), attempt, table.key)
+    topic.publish(sent.observe(counts, F.count(F.lit(1)).alias("sent")))
+    read_so_far = f"{progress}/{table.name}" if progress else None
+    landing = land_attempt(
+        rows.sparkSession, topic, table.schema, table.key, attempt, read_so_far, label=f"received-{table.name}"
+    )
+    number = counts.get.get("sent", 0)
+    if landing.received != number:
+        raise RuntimeError(f"{table.name}: {number - landing.received} of the messages of {attempt} did not come back")
+    if landing.rejected:
+        if rejects is None:
+            raise RuntimeError(f"{table.name}: {landing.rejected} of the messages of {attempt} cannot be decoded")
+        rejects(table, landing.bad())
+    return landing.rows()
 
 
 def lake_rejects(root: str, loaded: date, batch: str) -> Sink:
@@ -63,6 +75,19 @@ def lake_sink(root: str, loaded: date, batch: str) -> Sink:
     return lambda table, rows: write_batch(rows, f"{root}/{table.name}", loaded, batch)
 
 
+def history_sink(root: str, loaded: date, batch: str) -> Sink:
+    """Dimensions as versions (:mod:`..sources.history`), of which only changed rows are stored; other tables as
+    batches of a lake."""
+
+    def store(table: Table, rows: DataFrame) -> None:
+        if table.identity:
+            write_versions(rows, f"{root}/{table.name}", table.identity, loaded, batch)
+        else:
+            write_batch(rows, f"{root}/{table.name}", loaded, batch)
+
+    return store
+
+
 def endpoint_sink(endpoint_of: Callable[[str], Endpoint], loaded: date, batch: str) -> Sink:
     """Append stamped rows to any data source, e.g. ``relational_table`` by table name."""
     return lambda table, rows: endpoint_of(table.name).save(stamp(rows, loaded, batch))
@@ -109,8 +134,7 @@ def _ingest(
     catalog = written(clean_catalog(read_listings(spark, listing_paths), price_mode), "catalog")
     keys = f"{lake}/_keys"
     if only_if_new and path_exists(spark, f"{keys}/product"):
-        stored = spark.read.schema(LAKE["product"].schema).parquet(f"{keys}/product").select(*TRIPLE)
-        fresh = written(new_keys(catalog, stored, *TRIPLE), "new-products")
+        fresh = written(keys_not_stored(f"{keys}/product", catalog, *TRIPLE), "new-products")
         if fresh.isEmpty():
             return False
         catalog = written(catalog.join(fresh, same_key(catalog, fresh, TRIPLE), "left_semi"), "new-listings")
@@ -131,7 +155,7 @@ def _ingest(
     }
     store, rejects = store or lake_sink(lake, loaded, batch), lake_rejects(lake, loaded, batch)
     for name, frame in frames.items():
-        store(LAKE[name], hop(frame, LAKE[name], topics, batch, rejects))
+        store(LAKE[name], hop(frame, LAKE[name], topics, batch, rejects, f"{lake}/_progress"))
     return True
 
 
@@ -180,13 +204,21 @@ def load_wide(
     return written(joined, "wide")
 
 
-def publish_all(frames: dict[str, DataFrame], tables: dict[str, Table], topics: TopicOf, sink: Sink, batch: str):
+def publish_all(
+    frames: dict[str, DataFrame],
+    tables: dict[str, Table],
+    topics: TopicOf,
+    sink: Sink,
+    batch: str,
+    progress: str | None = None,
+):
     for name, frame in frames.items():
         with working_tables(frame.sparkSession):
-            sink(tables[name], hop(frame, tables[name], topics, batch))
+            sink(tables[name], hop(frame, tables[name], topics, batch, progress=progress))
 
 
-def build_warehouse(wide: DataFrame, topics: TopicOf, sink: Sink, batch: str) -> None:
+def build_warehouse(wide: DataFrame, topics: TopicOf, sink: Sink, batch: str, progress: str | None = None) -> None:
+    """Fact and dimensions of the wide rows; with ``progress`` each topic is read on from the load before (:func:`hop`)."""
     frames = {
         "factOrder": star.fact_order(wide),
         "dimProduct": star.dim_product(wide),
@@ -194,13 +226,13 @@ def build_warehouse(wide: DataFrame, topics: TopicOf, sink: Sink, batch: str) ->
         "dimDiliveryLocation": star.dim_location(wide),
         "dimDate": star.dim_date(wide),
     }
-    publish_all(frames, WAREHOUSE, topics, sink, batch)
+    publish_all(frames, WAREHOUSE, topics, sink, batch, progress)
 
 
-def build_mart(wide: DataFrame, topics: TopicOf, sink: Sink, batch: str) -> None:
+def build_mart(wide: DataFrame, topics: TopicOf, sink: Sink, batch: str, progress: str | None = None) -> None:
     frames = {
         "revenue_table": reports.revenue_report(wide),
         "order_table": reports.order_report(wide),
         "customer_table": reports.customer_report(wide),
     }
-    publish_all(frames, MART, topics, sink, batch)
+    publish_all(frames, MART, topics, sink, batch, progress)

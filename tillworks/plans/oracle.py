@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from ..functions.measures import DELIVERY_WEIGHTS
 from ..operators.builders import EMAIL_DOMAINS, GENDERS, SEGMENTS
-from .queries import RUN_DATE, SCAN_MONTH
+from .queries import NEXT_RUN_DATE, RUN_DATE, SCAN_MONTH
 
 
 def _hash(key: str, salt: str) -> str:
@@ -220,7 +220,18 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT order_id, product_id, delivery_status, actual_price, discount_price,
                 {_PROJECTED} AS projected_income, {_INCOME} AS income, price * inv_quantity AS inv_value FROM measured"""
         ),
+        "wide_sales_stored": f"WITH {_JOINED} SELECT {columns} FROM joined",
         "revenue_report": _wide(_REVENUE),
+        "report_loads": _wide(_REVENUE),
+        "dim_history": f"""WITH {_PRODUCT},
+            raised AS (SELECT * REPLACE (actual_price + 1 AS actual_price) FROM product
+                       WHERE id % 13 = 0 AND actual_price IS NOT NULL),
+            versions AS (
+                SELECT p.*, DATE '{RUN_DATE}' AS valid_from, CASE WHEN r.id IS NOT NULL THEN DATE '{NEXT_RUN_DATE}' END AS valid_to
+                FROM product p LEFT JOIN raised r USING (id)
+                UNION ALL SELECT *, DATE '{NEXT_RUN_DATE}', NULL FROM raised)
+            SELECT id, product_name, actual_price, discount_price, tenths / 10.0 AS ratings, link, valid_from, valid_to
+            FROM versions""",
         "order_report": _wide(
             f"""SELECT order_id, city, state, "month", "quarter", "year",
                 {_mean(f'sum({_SPENDING})', 'count(*)')} AS avg_spending,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -13,19 +14,24 @@ from ..functions.measures import DELIVERY_WEIGHTS, add_measures
 from ..operators import builders, catalog_clean, reports, star
 from ..operators import wide as wide_ops
 from ..operators.envelope import decode, encode
+from ..operators.latest import latest_by_key
 from ..operators.numbering import dense_ids
-from ..operators.stable_keys import new_keys as keys_not_stored
-from ..operators.stable_keys import stable_ids
+from ..operators.stable_keys import keys_not_stored, stable_ids
 from ..session import fresh_dir, written
 from ..sources.endpoints import file_topic
+from ..sources.history import read_versions, write_versions
 from ..sources.lake import read_lake, read_table, upsert_table, write_batch
 from ..sources.listings import read_listings, union_sources
-from ..streaming.envelope_stream import topic_to_table
+from ..sources.sales_store import SalesStore
+from ..streaming.envelope_stream import topic_to_lake
 from . import adapter
+from .report_loads import add_load, read_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_DATE = date(2024, 7, 1)
+NEXT_RUN_DATE = date(2024, 7, 8)
+STORE_BUCKETS = 16
 SCAN_MONTH = 7
 EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 
@@ -53,6 +59,43 @@ def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapter.wide_rows(spark, sf_dir)
 
 
+@query
+def wide_sales_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide rows from lines and products that were stored in buckets of the product."""
+    lines, product, inventory = adapter.placed_lines(spark, sf_dir), adapter.product(spark, sf_dir), adapter.inventory(spark, sf_dir)
+    path = fresh_dir(spark, "sales-store")
+    products = wide_ops.stocked(product, inventory)
+    store = SalesStore(spark, path, f"sales_{uuid.uuid4().hex}", lines.schema, products.schema, STORE_BUCKETS)
+    store.put_products(product, inventory)
+    store.add_lines(lines)
+    return store.wide()
+
+
+@query
+def report_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revenue report, grown by three loads: sales rows that are delivered, those that are not, and the rest."""
+    rows = adapter.wide(spark, sf_dir)
+    root = fresh_dir(spark, "report")
+    status = F.coalesce("delivery_status", F.lit(""))
+    ended = ("Delivered", "Undelivered")
+    for batch, load in (("w1", status == ended[0]), ("w2", status == ended[1]), ("w3", ~status.isin(*ended))):
+        add_load(rows.where(load), root, RUN_DATE, batch, [reports.REVENUE])
+    return read_report(spark, root, reports.REVENUE)
+
+
+@query
+def dim_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of the products over two loads, the second of which raises the price of each thirteenth product."""
+    product = adapter.product(spark, sf_dir).drop("inventory_id")
+    path = fresh_dir(spark, "history")
+    raised = F.when(adapter.every(13, "id"), F.col("actual_price") + 1).otherwise(F.col("actual_price"))
+    write_versions(product, path, ["id"], RUN_DATE, "w1")
+    write_versions(product.withColumn("actual_price", raised), path, ["id"], NEXT_RUN_DATE, "w2")
+    return read_versions(spark, path, product.schema, ["id"]).select(
+        "id", "product_name", "actual_price", "discount_price", "ratings", "link", "valid_from", "valid_to"
+    )
+
+
 @query
 def quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapter.wide(spark, sf_dir)
@@ -76,10 +119,15 @@ _over_wide("revenue_report", reports.revenue_report)
 _over_wide("order_report", reports.order_report)
 _over_wide("customer_report", reports.customer_report)
 _over_wide("fact_order", star.fact_order)
-_over_wide("dim_product", star.dim_product)
 _over_wide("dim_date", lambda rows: star.in_calendar_order(star.dim_date(rows)))
 
 
+@query
+def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = adapter.placed_lines(spark, sf_dir)
+    return star.dim_product_of_lines(lines, adapter.product(spark, sf_dir), adapter.inventory(spark, sf_dir))
+
+
 @query
 def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     buyers = adapter.customer(spark, sf_dir).select("id", "customer_name", "gender", "email", "segment")
@@ -131,7 +179,9 @@ def incremental_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listings of a second, overlapping load that the first has not brought."""
     first, second = _loads(_catalog(spark, sf_dir))
-    return keys_not_stored(second, first.select(*catalog_clean.TRIPLE).distinct(), *catalog_clean.TRIPLE)
+    path = fresh_dir(spark, "keys")
+    stable_ids(path, first, *catalog_clean.TRIPLE)
+    return keys_not_stored(path, second, *catalog_clean.TRIPLE)
 
 
 def _loads(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -430,7 +480,7 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events through the topic as a stream into a keyed table of the last event per user.
+    """The last event per user, of all events that went through the topic as a stream into the lake.
 
     The topic also holds a failed attempt at the batch, which does not count.
     """
@@ -438,10 +488,9 @@ def envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = file_topic(fresh_dir(spark, "stream-topic"))
     topic.publish(encode(events.withColumn("value", -F.col("value")), "b1-failed"))
     topic.publish(encode(events, "b1"))
-    path = fresh_dir(spark, "stream-table")
-    stream = topic_to_table(
-        spark, topic, events.schema, path, ["user_id"], ["ts", "event_id"], fresh_dir(spark, "stream-progress"), ["b1"],
-        buckets=8,
+    path = fresh_dir(spark, "stream-lake")
+    stream = topic_to_lake(
+        spark, topic, events.schema, path, fresh_dir(spark, "stream-progress"), RUN_DATE, attempts=["b1"]
     )
     stream.awaitTermination()
-    return read_table(spark, path, events.schema)
+    return latest_by_key(read_lake(spark, path, events.schema), ["user_id"], ["ts", "event_id"])

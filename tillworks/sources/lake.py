@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..catalog import LOAD_DAY, LOAD_DDL, LOAD_STAMPS
-from ..operators.latest import latest_by_key
+from ..operators.latest import latest_by_key, newest_rows
 from ..session import hadoop_fs, path_exists, written
 
 BUCKET = "key_bucket"
@@ -44,7 +44,7 @@ def _gathered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partitions)
 
 
-def _sequence_of(spark: SparkSession, path: str, batch: str) -> int:
+def batch_number(spark: SparkSession, path: str, batch: str) -> int:
     """The number of a batch: that of its first write, or the next one. One load at a time may write a table."""
     if not re.fullmatch(r"[A-Za-z0-9._-]+", batch):
         raise ValueError(f"a batch is named by letters, digits, '.', '_' and '-', not {batch!r}")
@@ -63,7 +63,7 @@ def write_batch(df: DataFrame, path: str, loaded: date | Column, batch: str) ->
     A batch has a number that grows from batch to batch and stays when it is repeated; the last write per key goes
     by it. A run date makes a single partition, which every task writes to as it stands: no shuffle.
     """
-    number = _sequence_of(df.sparkSession, path, batch)
+    number = batch_number(df.sparkSession, path, batch)
     stamped = stamp(df, loaded, batch).drop("load_batch")
     if isinstance(loaded, Column):
         stamped = _gathered(stamped, LOAD_DAY)
@@ -102,11 +102,10 @@ def read_latest(
 ) -> DataFrame:
     """One row per key: that of the last batch (within one month, year or batch, if given).
 
-    Should a batch hold a key twice, the greater row counts, so that every run gives the same result.
+    Should a batch hold a key twice, one of its rows counts, the same on every read (:func:`newest_rows`).
     """
     rows = read_lake(spark, path, schema, month=month, year=year, batch=batch, keep_stamps=True)
-    others = [c for c in schema.fieldNames() if c not in keys]
-    return latest_by_key(rows, keys, ["load_seq", *others]).drop(*LOAD_STAMPS)
+    return newest_rows(rows, keys, "load_seq").drop(*LOAD_STAMPS)
 
 
 def _manifest(spark: SparkSession, path: str) -> tuple[int, dict] | None:
