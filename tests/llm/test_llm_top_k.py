@@ -57,6 +57,16 @@ def test_awkward_vectors(spark):
     assert ours(spark, rows[:1], {1}) == [] and ours(spark, [], {1}) == []
 
 
+def test_vectors_of_unequal_length_meet_their_own_length_alone(spark, monkeypatch):
+    draw = np.random.default_rng(2)
+    rows = [(i, draw.integers(-9, 9, 1 + i % 3).astype(float).tolist()) for i in range(60)] + [(99, [1.0] * 7)]
+    ids = {0, 1, 2, 3, 4, 99}
+    expected = sorted(row for n in (1, 2, 3, 7) for row in brute([r for r in rows if len(r[1]) == n], ids))
+    assert ours(spark, rows, ids) == expected
+    monkeypatch.setattr(top_k, "QUERY_ROWS", 1)
+    assert ours(spark, rows, ids) == expected
+
+
 def test_query_equals_sql(spark):
     name = "op8_threshold_top_k"
     rows, problems = compare(queries.queries()[name](spark, SF_DIR), duck(SF_DIR), queries.oracle_sql()[name])

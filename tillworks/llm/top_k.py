@@ -9,8 +9,8 @@ below what any other candidate can reach; the scores of the few that are left ar
 Queries are the stated rows, in blocks of bounded size; each block of queries meets each block of candidates once. The
 best k of every block are merged by an aggregate that keeps k rows per query and task.
 
-Defined results: vectors that are null, empty, or hold null or non-finite components take no part, nor those of another
-length than the query block; a query is compared with all rows but those of its own id; equal scores are ordered by id; rows without id
+Defined results: vectors that are null, empty, or hold null or non-finite components take no part; a query meets the
+vectors of its own length alone, and one that has none has no rows; a query is compared with all rows but those of its own id; equal scores are ordered by id; rows without id
 take no part; repeated ids are rows of their own; other columns are ignored.
 """
 
@@ -143,27 +143,28 @@ def _best_of_tasks(candidates: DataFrame, ids: list[int], queries: np.ndarray, k
 
 
 def _query_blocks(queries: DataFrame) -> Iterator[list]:
-    block: list = []
+    """Blocks of queries whose vectors have one length."""
+    blocks: dict[int, list] = {}
     for row in queries.select("vec_id", "vector").toLocalIterator():
+        block = blocks.setdefault(len(row.vector), [])
         block.append(row)
         if len(block) == QUERY_ROWS:
-            yield block
-            block = []
-    if block:
-        yield block
+            yield blocks.pop(len(row.vector))
+    yield from blocks.values()
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the k candidates of highest inner product for each query row.
 
-    Both frames have vec_id and integer vectors of one length (see ``integer_vectors``).
+    Both frames have vec_id and integer vectors (see ``integer_vectors``).
     """
     spark = candidates.sparkSession
     path = fresh_dir(spark, "top-k")
     spark.createDataFrame([], "query_id long, query long, vec_id long, score long").write.parquet(path)
     for number, block in enumerate(_query_blocks(queries)):
         ids = [row.vec_id for row in block]
-        found = _best_of_tasks(candidates, ids, np.array([row.vector for row in block], np.int64), k)
+        same_length = candidates.filter(F.size("vector") == len(block[0].vector))
+        found = _best_of_tasks(same_length, ids, np.array([row.vector for row in block], np.int64), k)
         names = spark.createDataFrame(list(enumerate(ids)), "query int, query_id long")
         # The names of a block are bounded by QUERY_ROWS.
         found.join(F.broadcast(names), "query").select(
