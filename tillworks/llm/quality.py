@@ -6,9 +6,15 @@ labeller says what under either answer, without knowing the truth, and gives eve
 somebody has given are one more labeller, of a stated accuracy. The posteriors label a bounded sample, on which a linear
 scorer over hashed words, word beginnings and shapes is trained; it scores every whole text.
 
+Abuse has three labellers that overlap: a short list of words, one marked word, and several. A word is marked if it, or one
+of its beginnings, is far more frequent in texts labelled as toxic than in others, whatever their language. These are
+counted by hash in a bounded sample of the labelled texts; a text that is labelled itself is judged by the counts without
+it, so that no labeller only repeats a given label.
+
 Defined results: a null text, or one of white space, is rejected with score 0; every row is judged by itself, repeated
 rows alike; labels that are null, or whose document is missing, are ignored, and of repeated labels the least quality
-and the greatest toxicity count; an empty table gives no rows; other columns pass through ``keep_good`` unchanged.
+and the greatest toxicity count; an empty table gives no rows; texts of any length train, vote and are scored whole;
+other columns pass through ``keep_good`` unchanged.
 """
 
 from __future__ import annotations
@@ -34,9 +40,20 @@ HEADS = ("quality", "toxic")
 ROUNDS = 50
 #: How often a given label is right. It is not estimated: given labels are what the answers mean.
 GIVEN_ACCURACY = 0.995
-#: Texts of each pair of likely answers that training reads in expectation, and characters from which none is drawn.
+#: Texts of each pair of likely answers that training reads, and the characters of these, both in expectation.
 SAMPLE_TEXTS = 1_500
-SAMPLE_CHARS = 20_000
+SAMPLE_CHARS = 30_000_000
+#: Texts of each given toxicity in which words are counted, in expectation, and bits of the hash they are counted by.
+LABELLED_TEXTS = 4_000
+MARK_BITS = 22
+#: A word or beginning marks abuse if so many toxic texts hold it, and it is so many times as frequent in these.
+LEAST_TOXIC = 4
+LEAST_TIMES = 30.0
+#: So many marked words, or more, are one feature.
+MOST_MARKED = 4
+MARKED_FEATURES = 8
+#: Words over which the share of repeated ones is taken: in longer stretches it grows with the length alone.
+STRETCH_WORDS = 1_000
 HASHED = 1 << 18
 EPOCHS = 40
 BATCH_TEXTS = 64
@@ -52,7 +69,7 @@ MOST_TOXIC = 0.5
 KEPT_WORDS = 150_000
 BEGINNINGS = range(3, 9)
 
-#: Words of abuse. Fixed values of the labeller; the scorer learns others from the labels.
+#: Words of abuse. Fixed values of the first labeller.
 ABUSE = frozenset("clown disgusting idiot loser moron pathetic scum stupid trash worthless".split())
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -69,55 +86,172 @@ def shapes(text: str) -> dict[str, float]:
         "symbols": sum(map(text.count, "#$%&*")) / max(1, len(text)),
         "repeats": sum(map(operator.eq, words, words[1:])) / n,
         "same_lines": 1 - len(set(lines)) / len(lines),
-        "same_words": 1 - len(set(words)) / n,
+        "same_words": repeated_share(words),
     }
 
 
+def repeated_share(words: list[str]) -> float:
+    """Share of the words that have come before in their stretch, over all stretches."""
+    starts = range(0, len(words), STRETCH_WORDS)
+    return 1 - sum(len(set(words[at : at + STRETCH_WORDS])) for at in starts) / len(words) if words else 0.0
+
+
 #: Share from which each labeller finds fault with a text.
 FAULTS = {
     "capitals": 0.3, "shouts": 0.05, "bars": 0.08, "symbols": 0.02, "repeats": 0.2, "same_lines": 0.6, "same_words": 0.7,
 }
 
 
-def votes_of(text: str | None) -> list[int]:
-    """One bit for each labeller of quality, in the order of ``FAULTS``, then one for abuse; set if it finds fault."""
+#: The labellers of abuse.
+MARKS = ("listed", "one marked word", "several")
+#: Marked words that are several.
+SEVERAL = 2
+#: A bit for each table of marks.
+TABLE_BITS = (1, 2, 4)
+
+
+def mark_slots(word: str) -> list[int]:
+    """Hashes under which a word and its beginnings are counted."""
+    names = [f"w{word}", *(f"b{word[:n]}" for n in BEGINNINGS if n <= len(word))]
+    return [zlib.crc32(name.encode()) & ((1 << MARK_BITS) - 1) for name in names]
+
+
+@dataclass
+class Marks:
+    """The slots that mark abuse, a byte each: bits tell whether they do by all counts (1), by those without one toxic
+    text (2), and without one other text (4)."""
+
+    tables: bytes | None
+
+    def __post_init__(self):
+        self.known: dict[str, int] = {}
+
+    def word(self, word: str) -> int:
+        """The tables that the word or one of its beginnings is marked in, one bit each."""
+        if (found := self.known.get(word)) is None:
+            if len(self.known) >= KEPT_WORDS:
+                self.known.clear()
+            slots = mark_slots(word) if self.tables else ()
+            found = self.known[word] = reduce(operator.or_, map(self.tables.__getitem__, slots)) if slots else 0
+        return found
+
+    def votes(self, text: str) -> list[int]:
+        """Of each labeller of abuse, the tables by which it finds some."""
+        words = set(_WORD.findall(text.lower()))
+        number = [0] * len(TABLE_BITS)
+        for word in words:
+            if hit := self.word(word):
+                number = [n + bool(hit & bit) for n, bit in zip(number, TABLE_BITS, strict=True)]
+        at_least = lambda least: sum(bit for n, bit in zip(number, TABLE_BITS, strict=True) if n >= least)
+        return [0 if ABUSE.isdisjoint(words) else sum(TABLE_BITS), at_least(1), at_least(SEVERAL)]
+
+
+def marked(toxic: np.ndarray, other: np.ndarray, all_toxic: float, all_other: float) -> np.ndarray:
+    """Which counts mark abuse."""
+    return (toxic >= LEAST_TOXIC) & (toxic * max(all_other, 1) >= LEAST_TIMES * (other + 0.5) * max(all_toxic, 1))
+
+
+def count_marks(documents: DataFrame, labels: DataFrame | None) -> Marks:
+    """Marks from a sample of the labelled texts, each different text once."""
+    if labels is None:
+        return Marks(None)
+    given = labels.groupBy(F.col("doc_id").cast("long").alias("labelled")).agg(F.max("toxic").cast("int").alias("toxic"))
+    given = given.filter(F.col("toxic").isin(0, 1) & F.col("labelled").isNotNull())
+    sizes = {r.toxic: r["count"] for r in given.groupBy("toxic").count().collect()}
+    if len(sizes) < 2:
+        return Marks(None)
+    space = 1 << 30
+    rate = F.coalesce(*(F.when(F.col("toxic") == t, F.lit(int(space * min(1.0, LABELLED_TEXTS / n)))) for t, n in sizes.items()))
+    # LABELLED_TEXTS of each answer, in expectation.
+    drawn = written(given.filter(F.pmod(F.xxhash64("labelled"), F.lit(space)) < rate), "labelled-sample")
+    texts = _keyed(documents).join(F.broadcast(drawn), F.col("doc_id") == F.col("labelled"))
+    different = texts.groupBy("text_hash").agg(F.max("toxic").alias("toxic"), F.max("text").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, 1 << MARK_BITS), np.int32)
+        total = [0, 0]
+        for batch in batches:
+            for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text"), strict=True):
+                slots = set()
+                for word in set(_WORD.findall((text.as_py() or "").lower())):
+                    slots.update(mark_slots(word))
+                counts[toxic, np.fromiter(slots, np.int64, len(slots))] += 1
+                total[toxic] += 1
+        held = np.flatnonzero(counts.any(axis=0))
+        # Slot -1 counts the texts.
+        columns = [np.append(held, -1), np.append(counts[1, held], total[1]), np.append(counts[0, held], total[0])]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["slot", "toxic", "other"])
+
+    per_task = different.mapInArrow(run, "slot long, toxic long, other long")
+    summed = written(per_task.groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "marks")
+    totals = summed.filter("slot = -1").collect()
+    if not totals:
+        return Marks(None)
+    rows = summed.filter((F.col("slot") >= 0) & (F.col("toxic") >= LEAST_TOXIC)).toArrow()  # a row per slot at most
+    slot, toxic, other = (rows.column(c).to_numpy() for c in ("slot", "toxic", "other"))
+    ways = [(0, 0), (1, 0), (0, 1)]
+    tables = np.zeros(1 << MARK_BITS, np.uint8)
+    for bit, (less_toxic, less_other) in zip(TABLE_BITS, ways, strict=True):
+        held = marked(toxic - less_toxic, np.maximum(other - less_other, 0), totals[0].toxic - less_toxic, totals[0].other - less_other)
+        tables[slot[held]] |= bit
+    return Marks(tables.tobytes())
+
+
+def fault_votes(text: str | None) -> list[int]:
+    """One bit for each labeller of quality, in the order of ``FAULTS``; set if it finds fault."""
     if not text or not text.strip():
-        return [1] * len(FAULTS) + [0]
+        return [1] * len(FAULTS)
     found = shapes(text)
-    return [int(found[name] >= least) for name, least in FAULTS.items()] + [
-        int(not ABUSE.isdisjoint(_WORD.findall(text.lower())))
-    ]
+    return [int(found[name] >= least) for name, least in FAULTS.items()]
+
+
+def votes_of(text: str | None) -> list[int]:
+    """The votes of the labellers that need no counts: those of quality, then that of listed abuse."""
+    return [*fault_votes(text), Marks(None).votes(text or "")[0] & 1]
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
 
 
-def vote_table(documents: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(doc_id, text_hash, n_chars, votes, given_quality, given_toxic) of every row, written."""
+def vote_table(documents: DataFrame, labels: DataFrame | None, tables: bytes | None) -> DataFrame:
+    """(doc_id, text_hash, n_chars, votes, given_quality, given_toxic) of every row, written; the votes are those of
+    ``FAULTS``, then those of ``MARKS``."""
 
-    def run(columns: dict[str, pa.Array]) -> dict[str, list]:
-        texts = [t.as_py() for t in columns["text"]]
-        kept = {k: columns[k] for k in ("doc_id", "text_hash")}
-        return kept | {"n_chars": [len(t or "") for t in texts], "votes": [votes_of(t) for t in texts]}
+    def make():
+        marks = Marks(tables)
 
-    votes = map_rows(_keyed(documents), "doc_id long, text_hash long, n_chars long, votes array<int>", lambda: run)
+        def run(columns: dict[str, pa.Array]) -> dict[str, list]:
+            texts = [t.as_py() for t in columns["text"]]
+            kept = {k: columns[k] for k in ("doc_id", "text_hash")}
+            return kept | {"n_chars": [len(t or "") for t in texts], "votes": [fault_votes(t) + marks.votes(t or "") for t in texts]}
+
+        return run
+
+    votes = map_rows(_keyed(documents), "doc_id long, text_hash long, n_chars long, votes array<int>", make)
     if labels is None:
         none = F.lit(None).cast("int")
-        return written(votes.withColumns({f"given_{h}": none for h in HEADS}), "votes")
-    given = (
-        labels.groupBy(F.col("doc_id").cast("long").alias("labelled"))
-        .agg(F.min("quality").cast("int").alias("given_quality"), F.max("toxic").cast("int").alias("given_toxic"))
-    )
-    joined = votes.join(given, F.col("doc_id") == F.col("labelled"), "left").drop("labelled")
-    return written(joined, "votes")
+        joined = votes.withColumns({f"given_{h}": none for h in HEADS})
+    else:
+        given = (
+            labels.groupBy(F.col("doc_id").cast("long").alias("labelled"))
+            .agg(F.min("quality").cast("int").alias("given_quality"), F.max("toxic").cast("int").alias("given_toxic"))
+        )
+        joined = votes.join(given, F.col("doc_id") == F.col("labelled"), "left").drop("labelled")
+    chosen = F.transform("votes", lambda v, i: F.when(i < len(FAULTS), v).otherwise((v.bitwiseAND(_own_table()) != 0).cast("int")))
+    return written(joined.withColumn("votes", chosen), "votes")
+
+
+def _own_table() -> Column:
+    """The bit of the table of marks that leaves out the text's own label."""
+    return F.when(F.col("given_toxic") == 1, 2).when(F.col("given_toxic") == 0, 4).otherwise(1)
 
 
 @dataclass
 class Labellers:
     """What expectation maximisation knows of one question.
 
-    Texts with a fault are of several kinds, one begun for each labeller, since a text that shouts need not have bars:
+    Texts with a fault may be of several kinds, one begun for each labeller, since a text that shouts need not have bars:
     class 0 is without fault, class k is the k-th kind. ``chances`` are those of each labeller to find fault in each class.
     """
 
@@ -144,13 +278,21 @@ class Labellers:
         return self.chances[:, 1:] @ self.shares[1:] + (1 - self.chances[:, 0]) * self.shares[0]
 
 
-def estimate(votes: np.ndarray, given: np.ndarray, counts: np.ndarray, fault: int) -> Labellers:
-    """Expectation maximisation over vote patterns with counts; ``fault`` is the answer that labellers look for."""
+def estimate(votes: np.ndarray, given: np.ndarray, counts: np.ndarray, fault: int, kinds: bool = True) -> Labellers:
+    """Expectation maximisation over vote patterns with counts; ``fault`` is the answer that labellers look for, of one
+    kind or of as many as there are labellers."""
     labellers = votes.shape[1]
-    chances = np.full((labellers, labellers + 1), 0.1)
+    if kinds:
+        chances = np.full((labellers, labellers + 1), 0.1)
+        chances[np.arange(labellers), np.arange(labellers) + 1] = 0.9
+    else:
+        chances = np.full((labellers, 2), 0.7)
     chances[:, 0] = 0.02
-    chances[np.arange(labellers), np.arange(labellers) + 1] = 0.9
-    model = Labellers(np.array([0.8, *[0.2 / labellers] * labellers]), chances, fault)
+    if not kinds:
+        # A labeller that never finds anything has nothing to say.
+        chances[~votes.any(axis=0)] = 1e-6
+    classes = chances.shape[1] - 1
+    model = Labellers(np.array([0.8, *[0.2 / classes] * classes]), chances, fault)
     for _ in range(ROUNDS):
         weight = model.classes(votes, given) * counts[:, None]
         total = weight.sum(axis=0)
@@ -161,9 +303,16 @@ def estimate(votes: np.ndarray, given: np.ndarray, counts: np.ndarray, fault: in
     return model
 
 
-def text_features(text: str) -> np.ndarray:
-    """Hashed features of a text: of its distinct words and of its shapes in eighths."""
-    return np.array([h for w in sorted(set(_WORD.findall(text.lower()))) for h in word_features(w)] + shape_features(text), np.int32)
+def text_features(text: str, marks: Marks, bit: int = 1) -> np.ndarray:
+    """Hashed features of a text: of its distinct words, of its shapes in eighths and of its marked words by one table."""
+    words = sorted(set(_WORD.findall(text.lower())))
+    number = sum(bool(marks.word(w) & bit) for w in words)
+    return np.array([h for w in words for h in word_features(w)] + shape_features(text) + marked_features(number), np.int32)
+
+
+def marked_features(number: int) -> list[int]:
+    """Several features, so that the number of marked words tells more than any one of them."""
+    return [zlib.crc32(f"marked={min(number, MOST_MARKED)}:{n}".encode()) % HASHED for n in range(MARKED_FEATURES)]
 
 
 def word_features(word: str) -> list[int]:
@@ -171,13 +320,15 @@ def word_features(word: str) -> list[int]:
     return [zlib.crc32(n.encode()) % HASHED for n in names]
 
 
-def length_feature(text: str) -> int:
+def length_feature(chars: int) -> int:
     """Long texts gather words that tell a little by chance: the power of two of the length stands against them."""
-    return zlib.crc32(f"length={min(len(text), SAMPLE_CHARS).bit_length()}".encode()) % HASHED
+    return zlib.crc32(f"length={chars.bit_length()}".encode()) % HASHED
 
 
-def shape_features(text: str) -> list[int]:
-    return [length_feature(text)] + [zlib.crc32(f"{name}={int(8 * min(1.0, share))}".encode()) % HASHED for name, share in shapes(text).items()] + [
+def shape_features(text: str, longest: int | None = None) -> list[int]:
+    """Features of shape; a text that is longer than ``longest`` takes that length's."""
+    chars = len(text) if longest is None else min(len(text), longest)
+    return [length_feature(chars)] + [zlib.crc32(f"{name}={int(8 * min(1.0, share))}".encode()) % HASHED for name, share in shapes(text).items()] + [
         zlib.crc32(f"{name}!".encode()) % HASHED for name, share in shapes(text).items() if share >= FAULTS[name]
     ]
 
@@ -186,6 +337,10 @@ def shape_features(text: str) -> list[int]:
 class Scorer:
     weights: np.ndarray  # HASHED x heads
     bias: np.ndarray
+    #: Characters of the longest text that it was trained on.
+    longest: int = 0
+    #: Tables of :class:`Marks`.
+    tables: bytes | None = None
 
 
 def _posterior_column(models: dict[str, Labellers], patterns: list, head: str) -> Column:
@@ -201,13 +356,14 @@ def _posterior_column(models: dict[str, Labellers], patterns: list, head: str) -
 
 def _numbers(patterns: list, head: str) -> tuple[np.ndarray, np.ndarray]:
     all_votes = np.array([row.votes for row in patterns], float)
-    votes = all_votes[:, :-1] if head == "quality" else all_votes[:, -1:]
+    votes = all_votes[:, : len(FAULTS)] if head == "quality" else all_votes[:, len(FAULTS) :]
     return votes, np.array([row[f"given_{head}"] for row in patterns])
 
 
 def fit(documents: DataFrame, labels: DataFrame | None = None) -> Scorer | None:
     """A scorer from the votes on all documents and a bounded sample of texts; None for an empty table."""
-    table = vote_table(documents, labels)
+    tables = count_marks(documents, labels).tables
+    table = vote_table(documents, labels, tables)
     # At most two to the number of labellers, times three for each given label.
     patterns = (
         table.groupBy("votes", *(F.coalesce(f"given_{h}", F.lit(-1)).alias(f"given_{h}") for h in HEADS))
@@ -218,39 +374,66 @@ def fit(documents: DataFrame, labels: DataFrame | None = None) -> Scorer | None:
     if not patterns:
         return None
     counts = np.array([row.n for row in patterns], float)
-    models = {h: estimate(*_numbers(patterns, h), counts, fault=int(h == "toxic")) for h in HEADS}
-    scored = table.filter(F.col("n_chars") <= SAMPLE_CHARS).withColumns({h: _posterior_column(models, patterns, h) for h in HEADS})
+    # Labellers of quality look for faults of different kinds, those of abuse for the same one.
+    models = {
+        "quality": estimate(*_numbers(patterns, "quality"), counts, fault=0),
+        "toxic": estimate(*_numbers(patterns, "toxic"), counts, fault=1, kinds=False),
+    }
+    scored = table.withColumns({h: _posterior_column(models, patterns, h) for h in HEADS})
     strata = scored.withColumn("stratum", 2 * (F.col("quality") >= 0.5).cast("int") + (F.col("toxic") >= 0.5).cast("int"))
-    sizes = {r.stratum: r["count"] for r in strata.groupBy("stratum").count().collect()}
-    if not sizes:
-        return None
+    sizes = strata.groupBy("stratum").agg(F.count("*").alias("texts"), F.sum("n_chars").alias("chars")).collect()
     space = 1 << 30
-    rate = F.coalesce(*(F.when(F.col("stratum") == s, F.lit(int(space * min(1.0, SAMPLE_TEXTS / n)))) for s, n in sizes.items()))
+    shares = {r.stratum: min(1.0, SAMPLE_TEXTS / r.texts, SAMPLE_CHARS / max(1, r.chars)) for r in sizes}
+    rate = F.coalesce(*(F.when(F.col("stratum") == s, F.lit(int(space * share))) for s, share in shares.items()))
+    # Drawn texts stand for those that were not, so that answers keep their shares.
+    stands_for = F.coalesce(*(F.when(F.col("stratum") == s, F.lit(1 / share)) for s, share in shares.items()))
+    kept = [*HEADS, "stands_for"]
     drawn = (
-        strata.filter(F.pmod(F.xxhash64("text_hash", "doc_id"), F.lit(space)) < rate)
+        strata.withColumn("stands_for", stands_for)
+        .filter(F.pmod(F.xxhash64("text_hash", "doc_id"), F.lit(space)) < rate)
         .groupBy("doc_id", "text_hash")
-        .agg(*(F.first(h).alias(h) for h in HEADS))
+        .agg(*(F.min(c).alias(c) for c in kept), F.min(_own_table()).alias("bit"))
     )
 
-    def run(columns: dict[str, pa.Array]) -> dict[str, list]:
-        return {h: columns[h] for h in HEADS} | {
-            "features": [text_features(t.as_py() or "").astype("<i4").tobytes() for t in columns["text"]],
-            "place": columns["text_hash"],
-        }
+    def make():
+        marks = Marks(tables)
+
+        def run(columns: dict[str, pa.Array]) -> dict[str, list]:
+            texts = [t.as_py() or "" for t in columns["text"]]
+            found = [text_features(t, marks, b) for t, b in zip(texts, columns["bit"].to_pylist(), strict=True)]
+            return {c: columns[c] for c in kept} | {
+                "features": [f.astype("<i4").tobytes() for f in found],
+                "place": columns["text_hash"],
+                "chars": [len(t) for t in texts],
+            }
+
+        return run
 
     # SAMPLE_TEXTS for each of four strata, in expectation.
     sample = _keyed(documents).join(F.broadcast(written(drawn, "quality-sample")), ["doc_id", "text_hash"])
-    rows = map_rows(sample, "quality double, toxic double, features binary, place long", lambda: run).collect()
-    return train(sorted({(r.place, r.quality, r.toxic, bytes(r.features)) for r in rows}))
+    fields = "quality double, toxic double, stands_for double, features binary, place long, chars long"
+    rows = map_rows(sample, fields, make).collect()
+    different = sorted({(r.place, r.quality, r.toxic, r.stands_for, bytes(r.features)) for r in rows})
+    scorer = train(different, max((r.chars for r in rows), default=0))
+    scorer.tables = tables
+    return scorer
 
 
-def train(rows: list[tuple[int, float, float, bytes]]) -> Scorer:
-    """Logistic regression on soft labels by adaptive gradients, over the features that tell the answers apart."""
-    features = [np.frombuffer(r[3], "<i4") for r in rows]
+def train(rows: list[tuple[int, float, float, float, bytes]], longest: int) -> Scorer:
+    """Logistic regression on soft labels by adaptive gradients, over the features that tell the answers apart.
+
+    Rows are (place, quality, toxicity, number of texts that the row stands for, features).
+    """
+    features = [np.frombuffer(r[4], "<i4") for r in rows]
     wanted = np.array([r[1:3] for r in rows]).reshape(-1, len(HEADS))
-    scorer = Scorer(np.zeros((HASHED, len(HEADS))), np.zeros(len(HEADS)))
+    weight = np.array([r[3] for r in rows])
+    weight = weight / weight.mean() if len(rows) else weight
+    scorer = Scorer(np.zeros((HASHED, len(HEADS))), np.zeros(len(HEADS)), longest)
+    if not rows:
+        return scorer
     used = np.stack([telling(features, wanted[:, h]) for h in range(len(HEADS))], axis=1)
-    used[[length_feature("x" * ((1 << n) - 1)) for n in range(SAMPLE_CHARS.bit_length() + 1)]] = True
+    used[[f for n in range(MOST_MARKED + 1) for f in marked_features(n)]] = True
+    used[[length_feature((1 << n) - 1) for n in range(longest.bit_length() + 1)]] = True
     features = [f[used[f].any(axis=1)] for f in features]
     squares, bias_squares = np.full((HASHED, len(HEADS)), 1e-6), np.full(len(HEADS), 1e-6)
     for _ in range(EPOCHS):
@@ -259,7 +442,7 @@ def train(rows: list[tuple[int, float, float, bytes]]) -> Scorer:
             flat, lengths = np.concatenate(part), np.array([len(f) for f in part])
             of_text = np.repeat(np.arange(len(part)), lengths)
             sums = np.stack([np.bincount(of_text, scorer.weights[flat, h], len(part)) for h in range(len(HEADS))], axis=1)
-            error = wanted[at : at + BATCH_TEXTS] - _sigmoid(sums + scorer.bias)
+            error = (wanted[at : at + BATCH_TEXTS] - _sigmoid(sums + scorer.bias)) * weight[at : at + BATCH_TEXTS, None]
             index, inverse = np.unique(flat, return_inverse=True)
             gradient = np.stack([np.bincount(inverse, error[of_text, h], len(index)) for h in range(len(HEADS))], axis=1)
             gradient = (gradient / len(part) - PENALTY * scorer.weights[index]) * used[index]
@@ -291,8 +474,10 @@ class Weights:
 
     def __init__(self, scorer: Scorer):
         self.scorer = scorer
+        self.marks = Marks(scorer.tables)
         self.place: dict[str, int] = {}
-        self.table = np.zeros((0, len(HEADS)))
+        # Weights by head, and whether the word is marked.
+        self.table = np.zeros((0, len(HEADS) + 1))
 
     def batch(self, texts: list[str | None]) -> np.ndarray:
         """(quality, toxicity) of each text."""
@@ -305,12 +490,16 @@ class Weights:
             lengths = np.array([len(h) for h in hashed])
             values = self.scorer.weights[np.array([i for h in hashed for i in h])]
             self.place.update(zip(fresh, range(len(self.table), len(self.table) + len(fresh)), strict=True))
-            self.table = np.concatenate([self.table, np.add.reduceat(values, np.cumsum(lengths) - lengths, axis=0)])
+            marked_ones = [self.marks.word(w) & 1 for w in fresh]
+            sums = np.add.reduceat(values, np.cumsum(lengths) - lengths, axis=0)
+            self.table = np.concatenate([self.table, np.column_stack([sums, marked_ones])])
         out = np.zeros((len(texts), len(HEADS)))
         for i, (text, own) in enumerate(zip(texts, words, strict=True)):
             if text and text.strip():
                 index = np.fromiter(map(self.place.__getitem__, own), np.int64, len(own))
-                out[i] = self.table[index].sum(axis=0) + self.scorer.weights[shape_features(text)].sum(axis=0) + self.scorer.bias
+                *sums, number = self.table[index].sum(axis=0)
+                others = shape_features(text, self.scorer.longest) + marked_features(int(number))
+                out[i] = sums + self.scorer.weights[others].sum(axis=0) + self.scorer.bias
             else:
                 out[i] = (-40.0, -40.0)
         return _sigmoid(out)
