@@ -4,8 +4,9 @@ Four fixed rules find seeds: mail addresses, IP addresses, payment card and phon
 and around each other token that looks like an identifier make lexical patterns. Patterns and instances form a graph
 that Spark scores in rounds: a pattern is as good for a kind as the share of its distinct instances that are of that
 kind, with a prior against small shares; an instance that is no seed is as good as its patterns together. Patterns
-with a high score and several instances then give the identifiers in their place, whatever these look like, the
-pattern's kind.
+with a high score and several good instances, seeds or others that scored high in the round before, then give the
+identifiers in their place, whatever these look like, the pattern's kind. Identifiers that one context has shown so make
+the next context trusted.
 
 Defined results: a null or empty text has no spans; each row is judged by itself, repeated rows alike; rows without id
 are kept; seeds always stay, and found identifiers that overlap a seed are dropped; other columns pass through
@@ -29,7 +30,7 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 #: Instances of no kind that every pattern is charged with.
 PRIOR = 2.0
-#: A pattern is used from this score and number of distinct instances that are seeds.
+#: A pattern is used from this score and number of distinct instances that are seeds or have this score themselves.
 LEAST_SCORE = 0.7
 LEAST_SEEDS = 5
 #: An identifier has an @ or this many digits.
@@ -174,19 +175,20 @@ def good_patterns(
         found.groupBy("pattern", "instance").agg(*_per_kind(lambda k: F.max((F.col("kind") == k).cast("double")))).fillna(0.0),
         "pii-edges",
     )
-    is_seed = F.greatest(*KINDS) > 0
+    # Seeds score one.
+    is_good = F.greatest(*KINDS) >= least_score
     instances = edges
     for round_ in range(rounds):
         scores = instances.groupBy("pattern").agg(
             F.count("*").alias("n"),
-            F.sum(is_seed.cast("long")).alias("n_seeds") if round_ == 0 else F.first("n_seeds").alias("n_seeds"),
+            F.sum(is_good.cast("long")).alias("n_good"),
             *_per_kind(lambda k: F.sum(k) / (F.count("*") + PRIOR)),
         )
         scores = written(scores, "pii-patterns")
         if round_ + 1 == rounds:
             break
         # 1 - product of (1 - score) over the patterns of an instance; seeds stay what they are.
-        of_pattern = scores.select("pattern", "n_seeds", *(F.col(k).alias(f"p_{k}") for k in KINDS))
+        of_pattern = scores.select("pattern", *(F.col(k).alias(f"p_{k}") for k in KINDS))
         joined = edges.join(of_pattern, "pattern")
         together = joined.groupBy("instance").agg(
             *(F.max(k).alias(f"seed_{k}") for k in KINDS),
@@ -196,10 +198,10 @@ def good_patterns(
         instance_scores = together.select(
             "instance", *_per_kind(lambda k: F.when(seeded, F.col(f"seed_{k}")).otherwise(F.col(k)))
         )
-        instances = joined.select("pattern", "instance", "n_seeds").join(written(instance_scores, "pii-instances"), "instance")
+        instances = edges.select("pattern", "instance").join(written(instance_scores, "pii-instances"), "instance")
     best = F.greatest(*KINDS)
     kind = F.coalesce(*(F.when(F.col(k) == best, F.lit(k)) for k in KINDS))
-    return scores.filter((best >= least_score) & (F.col("n_seeds") >= least_seeds)).select(
+    return scores.filter((best >= least_score) & (F.col("n_good") >= least_seeds)).select(
         "pattern", kind.alias("kind"), best.alias("score")
     )
 
