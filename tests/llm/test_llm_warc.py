@@ -3,7 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
-from parity import compare, duck
+from parity import compare, duck, plan_of
 from pyspark.sql import functions as F
 
 from tillworks.llm import queries, warc
@@ -82,3 +82,18 @@ def test_query_equals_sql(spark):
     name = "op5_warc_source"
     rows, problems = compare(queries.queries()[name](spark, SF_DIR), duck(SF_DIR), queries.oracle_sql()[name])
     assert rows and not problems
+
+
+def test_query_reads_payloads_of_responses_alone(spark):
+    plan = plan_of(queries.op5_warc_source(spark, SF_DIR))
+    assert plan.count("BatchScan warc") == 2 and plan.count("payload#") >= 1
+    revisits = plan[plan.rindex("BatchScan warc") :]
+    assert "payload#" not in revisits.splitlines()[0]
+
+
+def test_payloads_larger_than_the_read_buffer(spark):
+    rows = [(i, f"http://a/{i}", f"{i}<é>" * size) for i, size in enumerate([1, 300_000, 5, 700_000])]
+    rows += [(10 + i, "http://b", html) for i, (_, _, html) in enumerate(rows)]
+    found = warc.read_archives(spark, archive(spark, rows)).collect()
+    text = lambda r: bytes(r.payload).decode() if r.payload is not None else None
+    assert Counter((r.row_id, r.target_uri, r.record_type, r.refers_to, text(r)) for r in found) == expected(rows)

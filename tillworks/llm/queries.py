@@ -69,17 +69,14 @@ def op4_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "warc")
     warc.write_archives(warc.plan_records(table(spark, sf_dir, "pages")), path)
-    records = warc.read_archives(spark, path)
+    # Two scans: the records that hold a payload, and those whose headers say everything, whose blocks are not read.
+    stored = warc.read_archives(spark, path).filter(F.col("record_type") == "response")
+    revisits = warc.read_archives(spark, path, payload=False).filter(F.col("record_type") == "revisit")
     # What was written and read back, not what the headers claim, counts for stored payloads.
-    stored = F.col("record_type") == "response"
     payload = F.coalesce("payload", F.lit(b""))
-    return records.select(
-        F.col("row_id").alias("page_id"),
-        F.when(stored, F.length(payload).cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(stored, F.sha1(payload)).otherwise(F.col("payload_digest")).alias("payload_digest"),
-        "record_type",
-        "refers_to",
-    )
+    read_back = {"payload_bytes": F.length(payload).cast("long"), "payload_digest": F.sha1(payload)}
+    columns = [F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return stored.withColumns(read_back).select(*columns).unionAll(revisits.select(*columns))
 
 
 def op6_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,9 @@ Writing. Each task writes files of about ``file_bytes`` under a name that holds
 lists the files of successful attempts in a manifest, and only files in a manifest are read, so lost and repeated tasks
 leave nothing behind that counts.
 
+Defined results: a null html is an empty payload, an empty table gives no records, an html of any length is one block
+that a task holds whole; repeated rows are records of their own; other columns are ignored.
+
 Records follow WARC/1.1: responses hold an HTTP message whose entity is gzip-coded; revisits hold none and refer to the
 response. ``X-`` fields carry the row's id and the payload's length. Header values are percent-encoded where they hold
 control characters, a percent sign or anything outside ASCII.
@@ -38,6 +41,8 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
+from ..session import written
+
 #: Smaller payloads are always stored.
 REVISIT_BYTES = 1000
 FILE_BYTES = 128 << 20
@@ -59,10 +64,11 @@ HEADERS = {
     "payload_bytes": "X-Payload-Length",
 }
 NUMBERS = {"refers_to", "row_id", "payload_bytes"}
-SCHEMA = (
+HEADER_SCHEMA = (
     "record_type string, record_id string, target_uri string, payload_digest string, refers_to long, row_id long, "
-    "payload_bytes long, payload binary"
+    "payload_bytes long"
 )
+SCHEMA = f"{HEADER_SCHEMA}, payload binary"
 #: Columns of the frame that is written.
 WRITE_SCHEMA = "row_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
 
@@ -188,7 +194,8 @@ class WarcReader(DataSourceReader):
         self.path = options["path"].rstrip("/")
         self.partition_bytes = int(options.get("partition_bytes", PARTITION_BYTES))
         self.columns = schema.names
-        self.wanted: list[tuple[str, tuple]] = []
+        #: Column and the values it may have; None is any value but null.
+        self.wanted: list[tuple[str, tuple | None]] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         """Takes equality, membership and not-null predicates on header columns; the others stay with Spark."""
@@ -199,7 +206,7 @@ class WarcReader(DataSourceReader):
             elif column in HEADERS and isinstance(f, In):
                 self.wanted.append((column, tuple(f.value)))
             elif column in HEADERS:
-                self.wanted.append((column, ()))
+                self.wanted.append((column, None))
             else:
                 yield f
 
@@ -243,7 +250,7 @@ class WarcReader(DataSourceReader):
         while (fields := read_headers(stream)) is not None:
             length = int(fields["CONTENT-LENGTH"])
             values = {c: self.value(c, fields) for c in HEADERS if c in self.columns or any(c == w for w, _ in self.wanted)}
-            fits = all(values[c] is not None and (not among or values[c] in among) for c, among in self.wanted)
+            fits = all(values[c] is not None and (among is None or values[c] in among) for c, among in self.wanted)
             if not fits or "payload" not in self.columns or not length:
                 stream.skip(length)
                 payload = None
@@ -335,7 +342,9 @@ def plan_records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFr
         .select(F.col("payload_digest").alias("digest"), "largest")
     )
     revisit = F.col("largest").isNotNull() & ~F.col("row_id").eqNullSafe(F.col("largest"))
-    return rows.join(shared, F.col("payload_digest") == F.col("digest"), "left").select(
+    # Written, as AQE splits the partition of a payload that many pages share only between two shuffles.
+    rows = rows.join(written(shared, "shared-payloads"), F.col("payload_digest") == F.col("digest"), "left")
+    return rows.select(
         "row_id",
         "url",
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
@@ -352,10 +361,11 @@ def write_archives(records: DataFrame, path: str, file_bytes: int = FILE_BYTES)
     records.write.format("warc").option("path", path).option("file_bytes", str(file_bytes)).mode("append").save()
 
 
-def read_archives(spark: SparkSession, path: str, partition_bytes: int = PARTITION_BYTES) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, partition_bytes: int = PARTITION_BYTES, payload: bool = True) -> DataFrame:
     """The records below ``path`` with their headers and decoded payloads; an empty folder gives no rows.
 
-    Select few columns by ``spark.read.format("warc").schema(...)``: without ``payload`` no block is read.
+    Without ``payload`` no block is read. Filters on record type and headers are decided before a block is read.
     """
     register(spark)
-    return spark.read.format("warc").option("partition_bytes", str(partition_bytes)).load(path)
+    reader = spark.read.format("warc").option("partition_bytes", str(partition_bytes))
+    return (reader if payload else reader.schema(HEADER_SCHEMA)).load(path)
