@@ -44,6 +44,7 @@ LOAD_DAY = ("load_year", "load_month", "load_day")
 LOAD_STAMPS = ("load_seq", "load_batch", *LOAD_DAY)
 LOAD_DDL = "load_seq BIGINT, load_batch STRING, load_year INT, load_month INT, load_day INT"
 
+# Names, types and order of the columns below are those that existing consumers of the tables know.
 LAKE = {
     t.name: t
     for t in (

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..catalog import MART
 from ..functions import measures as m
 from ..functions.dates import days_between
 
@@ -132,14 +133,10 @@ def _customer_shown() -> dict[str, Column]:
     return {"loyal_customer": F.when(orders > 1, "True").otherwise("False"), "total_orders": orders}
 
 
-REVENUE = Report(
-    "revenue_table", ("category", "type", "city", "state", "month", "quarter", "year"), _revenue_sums, _revenue_shown,
-    m.add_measures,
-)
-ORDERS = Report("order_table", ("order_id", "city", "state", "month", "quarter", "year"), _order_sums, _order_shown)
+REVENUE = Report("revenue_table", MART["revenue_table"].key, _revenue_sums, _revenue_shown, m.add_measures)
+ORDERS = Report("order_table", MART["order_table"].key, _order_sums, _order_shown)
 CUSTOMERS = Report(
-    "customer_table", ("customer_id", "gender", "segment", "city", "state", "month", "quarter", "year"),
-    lambda: {"total_orders": F.count("customer_id")}, _customer_shown,
+    "customer_table", MART["customer_table"].key, lambda: {"total_orders": F.count("customer_id")}, _customer_shown
 )
 
 

@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..catalog import WAREHOUSE
 from ..functions.dates import month_name, quarter_name, weekday_name
 from .numbering import dense_ids
 from .wide import attach_products, quality_filter
 
-FACT_COLUMNS = ("product_id", "customer_id", "city_id", "timeuuid")
-
 
 def fact_order(wide: DataFrame) -> DataFrame:
     """Distinct order facts, numbered by product."""
-    return dense_ids(wide.select(*FACT_COLUMNS).distinct(), "product_id")
+    return dense_ids(wide.select(*WAREHOUSE["factOrder"].columns[1:]).distinct(), "product_id")
 
 
-def _dimension(wide: DataFrame, key: str, *attributes: str) -> DataFrame:
-    return wide.select(F.col(key).alias("id"), *attributes).distinct()
+def _dimension(wide: DataFrame, key: str, table: str) -> DataFrame:
+    """The distinct rows of a declared table whose ``id`` is a key of the wide row."""
+    return wide.select(F.col(key).alias("id"), *WAREHOUSE[table].columns[1:]).distinct()
 
 
 def used_by(source: DataFrame, wide: DataFrame, key: str) -> DataFrame:
@@ -31,14 +31,8 @@ def used_by(source: DataFrame, wide: DataFrame, key: str) -> DataFrame:
     return source.join(used, "id", "left_semi")
 
 
-PRODUCT_ATTRIBUTES = (
-    "product_name", "category", "type", "actual_price", "discount_price", "ratings",
-    "no_of_ratings", "link", "image", "quantity_sold", "inv_quantity", "delivery_status",
-)
-
-
 def dim_product(wide: DataFrame) -> DataFrame:
-    return _dimension(wide, "product_id", *PRODUCT_ATTRIBUTES)
+    return _dimension(wide, "product_id", "dimProduct")
 
 
 def dim_product_of_lines(lines: DataFrame, product: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -50,15 +44,15 @@ def dim_product_of_lines(lines: DataFrame, product: DataFrame, inventory: DataFr
     """
     sold = lines.select("product_id", "delivery_status").distinct()
     kept = quality_filter(attach_products(sold, product, inventory))
-    return kept.select(F.col("product_id").alias("id"), *PRODUCT_ATTRIBUTES)
+    return kept.select(F.col("product_id").alias("id"), *WAREHOUSE["dimProduct"].columns[1:])
 
 
 def dim_customer(wide: DataFrame) -> DataFrame:
-    return _dimension(wide, "customer_id", "customer_name", "gender", "email", "segment")
+    return _dimension(wide, "customer_id", "dimCustomer")
 
 
 def dim_location(wide: DataFrame) -> DataFrame:
-    return _dimension(wide, "city_id", "city", "state", "country")
+    return _dimension(wide, "city_id", "dimDiliveryLocation")
 
 
 def dim_date(wide: DataFrame) -> DataFrame:
