@@ -46,6 +46,8 @@ SAMPLE_CHARS = 30_000_000
 #: Texts of each given toxicity in which words are counted, in expectation, and bits of the hash they are counted by.
 LABELLED_TEXTS = 4_000
 MARK_BITS = 22
+#: Tasks that count them: each sends a row for every hash that it has met.
+COUNTING_TASKS = 12
 #: A word or beginning marks abuse if so many toxic texts hold it, and it is so many times as frequent in these.
 LEAST_TOXIC = 4
 LEAST_TIMES = 30.0
@@ -110,10 +112,17 @@ SEVERAL = 2
 TABLE_BITS = (1, 2, 4)
 
 
-def mark_slots(word: str) -> list[int]:
-    """Hashes under which a word and its beginnings are counted."""
-    names = [f"w{word}", *(f"b{word[:n]}" for n in BEGINNINGS if n <= len(word))]
-    return [zlib.crc32(name.encode()) & ((1 << MARK_BITS) - 1) for name in names]
+def word_hashes(word: str) -> list[int]:
+    """Hashes of a word and of its beginnings."""
+    names = [f"w{word}", *(f"b{word[:n]}" for n in BEGINNINGS if n < len(word))]
+    return [zlib.crc32(name.encode()) for name in names]
+
+
+def hashes_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of some words, one after the other, and where each word's begin."""
+    hashed = [word_hashes(w) for w in words]
+    lengths = np.array([len(h) for h in hashed])
+    return np.array([i for h in hashed for i in h], np.int64), np.cumsum(lengths) - lengths
 
 
 @dataclass
@@ -124,25 +133,30 @@ class Marks:
     tables: bytes | None
 
     def __post_init__(self):
+        self.slots = np.frombuffer(self.tables, np.uint8) if self.tables else None
         self.known: dict[str, int] = {}
 
-    def word(self, word: str) -> int:
-        """The tables that the word or one of its beginnings is marked in, one bit each."""
-        if (found := self.known.get(word)) is None:
-            if len(self.known) >= KEPT_WORDS:
+    def of_hashes(self, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """For each word, the tables that it or one of its beginnings is marked in, one bit each."""
+        if self.slots is None:
+            return np.zeros(len(starts), np.uint8)
+        return np.bitwise_or.reduceat(self.slots[hashes & ((1 << MARK_BITS) - 1)], starts)
+
+    def votes(self, texts: list[str | None]) -> list[list[int]]:
+        """For each text and labeller of abuse, the tables by which it finds some."""
+        words = [set(_WORD.findall(t.lower())) if t else set() for t in texts]
+        if self.slots is not None:
+            if len(self.known) > KEPT_WORDS:
                 self.known.clear()
-            slots = mark_slots(word) if self.tables else ()
-            found = self.known[word] = reduce(operator.or_, map(self.tables.__getitem__, slots)) if slots else 0
-        return found
-
-    def votes(self, text: str) -> list[int]:
-        """Of each labeller of abuse, the tables by which it finds some."""
-        words = set(_WORD.findall(text.lower()))
-        number = [0] * len(TABLE_BITS)
-        for word in words:
-            if hit := self.word(word):
-                number = [n + bool(hit & bit) for n, bit in zip(number, TABLE_BITS, strict=True)]
-        at_least = lambda least: sum(bit for n, bit in zip(number, TABLE_BITS, strict=True) if n >= least)
+            fresh = list(set().union(*words).difference(self.known))
+            if fresh:
+                self.known.update(zip(fresh, self.of_hashes(*hashes_of(fresh)).tolist(), strict=True))
+        return [self._votes(own) for own in words]
+
+    def _votes(self, words: set[str]) -> list[int]:
+        hits = [hit for hit in map(self.known.__getitem__, words) if hit] if self.slots is not None else []
+        numbers = [(bit, sum(1 for hit in hits if hit & bit)) for bit in TABLE_BITS]
+        at_least = lambda least: sum(bit for bit, n in numbers if n >= least)
         return [0 if ABUSE.isdisjoint(words) else sum(TABLE_BITS), at_least(1), at_least(SEVERAL)]
 
 
@@ -165,17 +179,15 @@ def count_marks(documents: DataFrame, labels: DataFrame | None) -> Marks:
     # LABELLED_TEXTS of each answer, in expectation.
     drawn = written(given.filter(F.pmod(F.xxhash64("labelled"), F.lit(space)) < rate), "labelled-sample")
     texts = _keyed(documents).join(F.broadcast(drawn), F.col("doc_id") == F.col("labelled"))
-    different = texts.groupBy("text_hash").agg(F.max("toxic").alias("toxic"), F.max("text").alias("text"))
+    different = texts.groupBy("text_hash").agg(F.max("toxic").alias("toxic"), F.max("text").alias("text")).repartition(COUNTING_TASKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, 1 << MARK_BITS), np.int32)
         total = [0, 0]
         for batch in batches:
             for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text"), strict=True):
-                slots = set()
-                for word in set(_WORD.findall((text.as_py() or "").lower())):
-                    slots.update(mark_slots(word))
-                counts[toxic, np.fromiter(slots, np.int64, len(slots))] += 1
+                words = set(_WORD.findall((text.as_py() or "").lower()))
+                counts[toxic, np.unique(hashes_of(list(words))[0] & ((1 << MARK_BITS) - 1))] += 1
                 total[toxic] += 1
         held = np.flatnonzero(counts.any(axis=0))
         # Slot -1 counts the texts.
@@ -207,7 +219,7 @@ def fault_votes(text: str | None) -> list[int]:
 
 def votes_of(text: str | None) -> list[int]:
     """The votes of the labellers that need no counts: those of quality, then that of listed abuse."""
-    return [*fault_votes(text), Marks(None).votes(text or "")[0] & 1]
+    return [*fault_votes(text), Marks(None).votes([text])[0][0] & 1]
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -224,7 +236,8 @@ def vote_table(documents: DataFrame, labels: DataFrame | None, tables: bytes | N
         def run(columns: dict[str, pa.Array]) -> dict[str, list]:
             texts = [t.as_py() for t in columns["text"]]
             kept = {k: columns[k] for k in ("doc_id", "text_hash")}
-            return kept | {"n_chars": [len(t or "") for t in texts], "votes": [fault_votes(t) + marks.votes(t or "") for t in texts]}
+            votes = [fault_votes(t) + v for t, v in zip(texts, marks.votes(texts), strict=True)]
+            return kept | {"n_chars": [len(t or "") for t in texts], "votes": votes}
 
         return run
 
@@ -305,9 +318,9 @@ def estimate(votes: np.ndarray, given: np.ndarray, counts: np.ndarray, fault: in
 
 def text_features(text: str, marks: Marks, bit: int = 1) -> np.ndarray:
     """Hashed features of a text: of its distinct words, of its shapes in eighths and of its marked words by one table."""
-    words = sorted(set(_WORD.findall(text.lower())))
-    number = sum(bool(marks.word(w) & bit) for w in words)
-    return np.array([h for w in words for h in word_features(w)] + shape_features(text) + marked_features(number), np.int32)
+    hashes, starts = hashes_of(sorted(set(_WORD.findall(text.lower()))))
+    number = np.count_nonzero(marks.of_hashes(hashes, starts) & bit) if len(starts) else 0
+    return np.append(hashes % HASHED, shape_features(text) + marked_features(number)).astype(np.int32)
 
 
 def marked_features(number: int) -> list[int]:
@@ -315,11 +328,6 @@ def marked_features(number: int) -> list[int]:
     return [zlib.crc32(f"marked={min(number, MOST_MARKED)}:{n}".encode()) % HASHED for n in range(MARKED_FEATURES)]
 
 
-def word_features(word: str) -> list[int]:
-    names = [f"w{word}", *(f"b{word[:n]}" for n in BEGINNINGS if n < len(word))]
-    return [zlib.crc32(n.encode()) % HASHED for n in names]
-
-
 def length_feature(chars: int) -> int:
     """Long texts gather words that tell a little by chance: the power of two of the length stands against them."""
     return zlib.crc32(f"length={chars.bit_length()}".encode()) % HASHED
@@ -486,13 +494,10 @@ class Weights:
         words = [set(_WORD.findall(t.lower())) if t else set() for t in texts]
         fresh = list(set().union(*words).difference(self.place))
         if fresh:
-            hashed = [word_features(w) for w in fresh]
-            lengths = np.array([len(h) for h in hashed])
-            values = self.scorer.weights[np.array([i for h in hashed for i in h])]
+            hashes, starts = hashes_of(fresh)
+            sums = np.add.reduceat(self.scorer.weights[hashes % HASHED], starts, axis=0)
             self.place.update(zip(fresh, range(len(self.table), len(self.table) + len(fresh)), strict=True))
-            marked_ones = [self.marks.word(w) & 1 for w in fresh]
-            sums = np.add.reduceat(values, np.cumsum(lengths) - lengths, axis=0)
-            self.table = np.concatenate([self.table, np.column_stack([sums, marked_ones])])
+            self.table = np.concatenate([self.table, np.column_stack([sums, self.marks.of_hashes(hashes, starts) & 1])])
         out = np.zeros((len(texts), len(HEADS)))
         for i, (text, own) in enumerate(zip(texts, words, strict=True)):
             if text and text.strip():
