@@ -67,6 +67,8 @@ LEAST_TEXTS = 5
 #: A text is kept if its quality is at least, and its toxicity below this.
 LEAST_QUALITY = 0.5
 MOST_TOXIC = 0.5
+#: Texts whose distinct words are held at a time.
+PART_TEXTS = 256
 #: Distinct words whose weights a task keeps at a time.
 KEPT_WORDS = 150_000
 BEGINNINGS = range(3, 9)
@@ -112,10 +114,24 @@ SEVERAL = 2
 TABLE_BITS = (1, 2, 4)
 
 
+_WORD_START, _BEGINNING_START = zlib.crc32(b"w"), zlib.crc32(b"b")
+
+
 def word_hashes(word: str) -> list[int]:
-    """Hashes of a word and of its beginnings."""
-    names = [f"w{word}", *(f"b{word[:n]}" for n in BEGINNINGS if n < len(word))]
-    return [zlib.crc32(name.encode()) for name in names]
+    """Hashes of a word and of its beginnings; each beginning's goes on from the one before."""
+    data = word.encode()
+    found = [zlib.crc32(data, _WORD_START)]
+    least, most = BEGINNINGS[0], min(BEGINNINGS[-1], len(word) - 1)
+    if most < least:
+        return found
+    if len(data) > len(word):
+        return found + [zlib.crc32(word[:n].encode(), _BEGINNING_START) for n in range(least, most + 1)]
+    at = zlib.crc32(data[:least], _BEGINNING_START)
+    found.append(at)
+    for n in range(least, most):
+        at = zlib.crc32(data[n : n + 1], at)
+        found.append(at)
+    return found
 
 
 def hashes_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -236,7 +252,9 @@ def vote_table(documents: DataFrame, labels: DataFrame | None, tables: bytes | N
         def run(columns: dict[str, pa.Array]) -> dict[str, list]:
             texts = [t.as_py() for t in columns["text"]]
             kept = {k: columns[k] for k in ("doc_id", "text_hash")}
-            votes = [fault_votes(t) + v for t, v in zip(texts, marks.votes(texts), strict=True)]
+            # Of few texts at a time: their words are held together.
+            abuse = [v for at in range(0, len(texts), PART_TEXTS) for v in marks.votes(texts[at : at + PART_TEXTS])]
+            votes = [fault_votes(t) + v for t, v in zip(texts, abuse, strict=True)]
             return kept | {"n_chars": [len(t or "") for t in texts], "votes": votes}
 
         return run
@@ -336,8 +354,9 @@ def length_feature(chars: int) -> int:
 def shape_features(text: str, longest: int | None = None) -> list[int]:
     """Features of shape; a text that is longer than ``longest`` takes that length's."""
     chars = len(text) if longest is None else min(len(text), longest)
-    return [length_feature(chars)] + [zlib.crc32(f"{name}={int(8 * min(1.0, share))}".encode()) % HASHED for name, share in shapes(text).items()] + [
-        zlib.crc32(f"{name}!".encode()) % HASHED for name, share in shapes(text).items() if share >= FAULTS[name]
+    found = shapes(text)
+    return [length_feature(chars)] + [zlib.crc32(f"{name}={int(8 * min(1.0, share))}".encode()) % HASHED for name, share in found.items()] + [
+        zlib.crc32(f"{name}!".encode()) % HASHED for name, share in found.items() if share >= FAULTS[name]
     ]
 
 
@@ -526,7 +545,7 @@ def scores(documents: DataFrame, scorer: Scorer | None) -> DataFrame:
     return map_rows(rows, "doc_id long, score double, toxicity double, keep boolean", make)
 
 
-def _in_parts(weights: Weights | None, texts: list[str | None], size: int = 256) -> np.ndarray:
+def _in_parts(weights: Weights | None, texts: list[str | None], size: int = PART_TEXTS) -> np.ndarray:
     if weights is None or not texts:
         return np.zeros((len(texts), len(HEADS)))
     return np.concatenate([weights.batch(texts[at : at + size]) for at in range(0, len(texts), size)])
