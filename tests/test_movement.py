@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +21,7 @@ from tillworks.sources.lake import read_lake, read_latest, read_table, upsert_ta
 from tillworks.streaming.envelope_stream import topic_to_lake, topic_to_table
 
 SF_DIR = "/root/testdata/sf0.001"
+REPO = str(Path(__file__).resolve().parent.parent)
 STOCK = StructType().add("id", "long").add("year", "integer").add("quantity", "integer")
 
 
@@ -290,6 +295,52 @@ def test_a_folder_of_each_machine_is_refused_on_a_cluster(spark, master):
     assert shared_root(Session()) == "/scratch"
 
 
+CLUSTER_RUN = """
+import sys
+from __spark_entry__ import queries
+from tillworks.session import build_session
+
+spark = build_session("cluster", "local-cluster[2,1,1024]", **{
+    "spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1", "spark.sql.shuffle.partitions": "2",
+    "spark.checkpoint.dir": sys.argv[1],
+})
+print({name: queries()[name](spark, sys.argv[2]).count() for name in ("build_address", "lake_roundtrip")})
+spark.stop()
+"""
+
+
+def test_a_shared_folder_without_scheme_is_used_on_a_cluster(spark, tmp_path):
+    run = subprocess.run(
+        [sys.executable, "-c", CLUSTER_RUN, str(tmp_path / "shared"), SF_DIR],
+        cwd=tmp_path, env=os.environ | {"PYTHONPATH": REPO}, capture_output=True, text=True, timeout=300,
+    )
+    rows = {"build_address": 25, "lake_roundtrip": spark.read.parquet(f"{SF_DIR}/events.parquet").count()}
+    assert run.stdout.splitlines()[-1:] == [str(rows)], run.stderr[-2000:]
+    assert not list((tmp_path / "shared" / "tillworks").glob("probe-*"))
+
+
+def test_a_folder_that_executors_do_not_share_is_refused(spark, tmp_path):
+    class Read:
+        def schema(self, schema):
+            return self
+
+        def parquet(self, path):  # what is left where no executor's file gets to the driver
+            return spark.createDataFrame([], "id BIGINT")
+
+    class Conf:
+        def get(self, key, default=None):
+            return str(tmp_path)
+
+    class Context:
+        master, applicationId, defaultParallelism = "yarn", "a2", 2
+
+    class Session:
+        conf, sparkContext, read, range, _jvm, _jsc = Conf(), Context(), Read(), spark.range, spark._jvm, spark._jsc
+
+    with pytest.raises(ValueError, match="no scheme"):
+        shared_root(Session())
+
+
 def test_cluster_without_shared_folder_is_refused(monkeypatch):
     class Conf:
         def get(self, key, default=None):
