@@ -71,6 +71,19 @@ def small_join_limits(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def test_lines_move_without_texts_made_of_their_keys(spark, small_join_limits):
+    plan = plan_of(queries()["wide_sales"](spark, SF_DIR))
+    assert "hashpartitioning(city_id" not in plan  # two dozen keys for all rows
+    joined = plan[plan.index("SortMergeJoin [order_id") :]
+    for made in ("timeuuid", "quarter", "img.example.com", "shop.example.com"):
+        assert made in plan and made not in joined
+
+
+def test_order_report_is_grouped_where_orders_are_joined(spark, small_join_limits):
+    plan = plan_of(queries()["order_report"](spark, SF_DIR))
+    assert "Exchange hashpartitioning" not in plan[: plan.index("SortMergeJoin [order_id")]
+
+
 def hot_orders(spark, key):
     """60,000 orders, a third of them on key 7."""
     hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000)

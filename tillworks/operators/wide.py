@@ -10,11 +10,19 @@ from ..catalog import WIDE_COLUMNS
 SECURE_URL = "^https://."
 
 
+def with_buyers(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Orders (``customer_id``, …) with their buyer."""
+    return orders.join(customer.withColumnRenamed("id", "customer_id"), "customer_id")
+
+
+def with_places(orders: DataFrame, address: DataFrame) -> DataFrame:
+    """Orders (``city_id``, …) with their delivery place."""
+    return orders.join(address.withColumnRenamed("id", "city_id"), "city_id")
+
+
 def attach_buyers(orders: DataFrame, customer: DataFrame, address: DataFrame) -> DataFrame:
     """Orders (``order_id``, ``customer_id``, …) with their buyer and delivery place."""
-    return orders.join(customer.withColumnRenamed("id", "customer_id"), "customer_id").join(
-        address.withColumnRenamed("id", "city_id"), "city_id"
-    )
+    return with_places(with_buyers(orders, customer), address)
 
 
 def stocked(product: DataFrame, inventory: DataFrame) -> DataFrame:

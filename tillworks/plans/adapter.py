@@ -14,7 +14,7 @@ from ..functions.dates import quarter_bucket, ship_date
 from ..functions.keyed import keyed_int, keyed_pick, stable_uuid
 from ..functions.text import email_address
 from ..operators.builders import COUNTRY, EMAIL_DOMAINS, EMAIL_NUMBERS, GENDERS
-from ..operators.wide import attach_buyers, attach_products, quality_filter
+from ..operators.wide import attach_products, quality_filter, with_buyers, with_places
 
 
 # Declared, so that opening a table starts no job to read file footers.
@@ -88,8 +88,9 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
+def product_columns() -> list[Column]:
+    """A product's columns, all told by its row of the part table."""
+    return [
         F.col("p_partkey").alias("id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
@@ -101,23 +102,37 @@ def product(spark: SparkSession, sf_dir: str) -> DataFrame:
         link_url().alias("link"),
         image_url().alias("image"),
         F.col("p_partkey").alias("inventory_id"),
-    )
+    ]
 
 
-def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = F.col("o_orderdate")
+def product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(*product_columns())
+
+
+def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
-        placed.alias("order_date"),
-        placed.alias("timestamp"),
-        stable_uuid(F.col("o_orderkey")).alias("timeuuid"),
-        quarter_bucket(placed).alias("quarter"),
+        F.col("o_orderdate").alias("order_date"),
     )
 
 
-def order_lines(spark: SparkSession, sf_dir: str, headers: DataFrame) -> DataFrame:
-    """One order row per line item."""
+def header_columns() -> dict[str, Column]:
+    """The columns of an order that its key and day tell."""
+    placed = F.col("order_date")
+    return {
+        "timestamp": placed,
+        "timeuuid": stable_uuid(F.col("order_id")),
+        "quarter": quarter_bucket(placed),
+    }
+
+
+def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_keys(spark, sf_dir).withColumns(header_columns())
+
+
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line item, without its order's columns."""
     flag = F.col("l_returnflag")
     status = (
         F.when(flag == "R", "Undelivered")
@@ -125,15 +140,22 @@ def order_lines(spark: SparkSession, sf_dir: str, headers: DataFrame) -> DataFra
         .when(F.col("l_linestatus") == "F", "Shipped")
         .otherwise("Preparing")
     )
-    lines = table(spark, sf_dir, "lineitem").select(
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         (1 + F.col("l_linenumber") % 7).alias("shipping_days"),
         status.alias("delivery_status"),
     )
-    return lines.join(headers, "order_id").withColumn(
-        "ship_date", ship_date(F.col("order_date"), F.col("shipping_days"))
-    ).drop("shipping_days")
+
+
+def shipped() -> Column:
+    return ship_date(F.col("order_date"), F.col("shipping_days"))
+
+
+def order_lines(spark: SparkSession, sf_dir: str, headers: DataFrame) -> DataFrame:
+    """One order row per line item."""
+    lines = line_items(spark, sf_dir).join(headers, "order_id")
+    return lines.withColumn("ship_date", shipped()).drop("shipping_days")
 
 
 def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,20 +188,43 @@ def address(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def placed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with header, buyer and place.
+def bought(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their buyer, and the place's id only.
 
-    Buyers and places are attached to the order headers, before these fan out to their lines: the lines are
-    shuffled by order and by product only, never by customer.
+    Buyers are attached to the orders, before these fan out to their lines: lines are never shuffled by customer.
     """
-    headers = attach_buyers(order_headers(spark, sf_dir), customer(spark, sf_dir), address(spark, sf_dir))
-    return order_lines(spark, sf_dir, headers)
+    return with_buyers(order_keys(spark, sf_dir), customer(spark, sf_dir))
+
+
+def described(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Lines of :func:`bought` orders with all that follows from their columns.
+
+    This comes behind the joins, whose shuffles then move keys and no texts made of them. Places are nations, few at any
+    scale, but Spark's estimate for their join with the regions may pass its limit: without the hint, all rows would be
+    shuffled to two dozen keys.
+    """
+    columns = header_columns() | {"ship_date": shipped()}
+    return with_places(lines.withColumns(columns).drop("shipping_days"), F.broadcast(address(spark, sf_dir)))
+
+
+def placed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with header, buyer and place."""
+    return described(spark, sf_dir, line_items(spark, sf_dir).join(bought(spark, sf_dir), "order_id"))
 
 
 def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The joined sales rows before the quality filter."""
-    lines = placed_lines(spark, sf_dir)
-    return attach_products(lines, product(spark, sf_dir), inventory(spark, sf_dir)).select(*WIDE_COLUMNS)
+    """The joined sales rows before the quality filter.
+
+    Lines meet their product first, as narrow as they are stored, so that the quality rules drop them before they move
+    on; what the part row tells is worked out behind the last join. By then rows lie by order, which is how the order
+    report groups them.
+    """
+    key = F.col("p_partkey")
+    parts = table(spark, sf_dir, "part").withColumns({"id": key, "inventory_id": key})
+    sold = attach_products(line_items(spark, sf_dir), parts, inventory(spark, sf_dir)).drop("product_id", "inventory_id")
+    rows = described(spark, sf_dir, sold.join(bought(spark, sf_dir), "order_id"))
+    products = rows.select("*", *product_columns()).withColumnRenamed("id", "product_id")
+    return products.select(*WIDE_COLUMNS)
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
