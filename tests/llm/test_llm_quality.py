@@ -36,6 +36,37 @@ def test_votes():
     assert fired(None) == fired(" ") == set(names)
 
 
+def test_words_are_found_as_the_pattern_does():
+    words = quality.Words()
+    signs = "abZ ,.1_\n\u00a0\u2019\u20acÄßéİΣςжЩ中文ªº²½µ\u0301\u0e33\U0001d44e\U00020000\U0001f600"
+    draw = np.random.default_rng(3)
+    for some in (4, 12, 30, len(signs)):
+        for _ in range(50):
+            text = "".join(draw.choice(list(signs[:some]), 60))
+            assert words.of(text) == quality._WORD.findall(text.lower())
+    # Every character of the table, between letters.
+    every = "a".join(chr(c) for c in range(1 << 16) if not 0xD800 <= c < 0xE000)
+    assert words.of(every) == quality._WORD.findall(every.lower())
+    assert words.of("") == words.of(" .\n") == []
+
+
+def test_words_are_hashed_together(monkeypatch):
+    """As one by one, without going through each."""
+    draw = np.random.default_rng(5)
+    signs = list("abcxyzäßéжщ中文ª\U0001d44e\U00020000")
+    words = ["".join(draw.choice(signs[: 6 + 9 * (i % 2)], 1 + i % 15)) for i in range(400)] + ["a", "ab", "y" * quality.LONG_WORD]
+    long = ["z" * 10_000, "中" * quality.LONG_WORD]
+    plainly = quality.word_hashes
+    wanted = [plainly(w) for w in [*words, *long, *words[::-1]]]
+    hashes, starts = quality.hashes_of([*words, *long, *words[::-1]])
+    assert [part.tolist() for part in np.split(hashes, starts[1:])] == wanted
+    assert [len(part) for part in quality.hashes_of([])] == [0, 0]
+    asked = []
+    monkeypatch.setattr(quality, "word_hashes", lambda w: asked.append(w) or plainly(w))
+    assert quality.hashes_of([*words, *long])[0].tolist() == sum(wanted[: len(words) + len(long)], [])
+    assert sorted(asked) == sorted(long)
+
+
 GOOD = [(300 + i, f"Plain words number {i} tell a calm story about gardens, rivers and the way home in the evening.") for i in range(60)]
 BAD = [(100 + i, f"BUY!! NOW!! NUMBER{i}!! CHEAP!! OFFER!! TODAY!! ONLY!!") for i in range(20)]
 RUDE = [(200 + i, f"Plain words number {i} tell a calm idiot story about gardens, moron rivers and stupid ways home.") for i in range(20)]

@@ -72,6 +72,8 @@ PART_TEXTS = 256
 #: Distinct words whose weights a task keeps at a time.
 KEPT_WORDS = 150_000
 BEGINNINGS = range(3, 9)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
 
 #: Words of abuse. Fixed values of the first labeller.
 ABUSE = frozenset("clown disgusting idiot loser moron pathetic scum stupid trash worthless".split())
@@ -79,6 +81,23 @@ ABUSE = frozenset("clown disgusting idiot loser moron pathetic scum stupid trash
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+class Words:
+    """Finds the words of texts, in lower case, as ``_WORD`` does; made once per task."""
+
+    def __init__(self):
+        letters = "".join(_WORD.findall("".join(map(chr, range(1 << 16)))))
+        self.letters = np.zeros(1 << 16, bool)
+        self.letters[np.frombuffer(letters.encode("utf-16-le"), "<u2")] = True
+
+    def of(self, text: str) -> list[str]:
+        lower = text.lower()
+        data = lower.encode("utf-16-le", "surrogatepass")
+        if len(data) > 2 * len(lower):  # characters beyond the table
+            return _WORD.findall(lower)
+        codes = np.frombuffer(data, "<u2")
+        return np.where(self.letters[codes], codes, np.uint16(32)).astype("<u2").tobytes().decode("utf-16-le").split()
+
+
 def shapes(text: str) -> dict[str, float]:
     """Shares that tell prose from noise."""
     words, lines = text.split(), text.split("\n")
@@ -134,11 +153,49 @@ def word_hashes(word: str) -> list[int]:
     return found
 
 
+_ALL_ONES = 0xFFFFFFFF
+#: What a byte does to the rest of a checksum.
+_BYTES = np.array([zlib.crc32(bytes([b]), _ALL_ONES) ^ _ALL_ONES for b in range(256)], np.uint32)
+
+
 def hashes_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of some words, one after the other, and where each word's begin."""
-    hashed = [word_hashes(w) for w in words]
-    lengths = np.array([len(h) for h in hashed])
-    return np.array([i for h in hashed for i in h], np.int64), np.cumsum(lengths) - lengths
+    """The hashes of some words, one after the other, and where each word's begin: those of ``word_hashes``, taken byte
+    by byte of all words together."""
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    ends = np.append(np.flatnonzero(data == 32), len(data))
+    starts = np.append(0, ends[:-1] + 1)
+    lengths = ends - starts
+    # A column for the word and one for each beginning; the longest words first, so that those with a further byte lead.
+    found = np.zeros((len(words), 1 + len(BEGINNINGS)), np.int64)
+    there = np.zeros(found.shape, bool)
+    there[:, 0] = True
+    order = np.argsort(-lengths, kind="stable")
+    long = np.count_nonzero(lengths > LONG_WORD)
+    for row in order[:long].tolist():
+        hashes = word_hashes(words[row])
+        found[row, : len(hashes)] = hashes
+        there[row, : len(hashes)] = True
+    order = order[long:]
+    starts, lengths = starts[order], lengths[order]
+    word, beginning = (np.full(len(order), start ^ _ALL_ONES, np.uint32) for start in (_WORD_START, _BEGINNING_START))
+    chars = np.zeros(len(order), np.int64)
+    for at in range(int(lengths[0]) if len(order) else 0):
+        n = np.searchsorted(-lengths, -at)
+        byte = data[starts[:n] + at]
+        if at >= BEGINNINGS[0]:
+            # A beginning ends where a further character begins.
+            ended = np.flatnonzero(((byte & 0xC0) != 0x80) & (chars[:n] >= BEGINNINGS[0]) & (chars[:n] <= BEGINNINGS[-1]))
+            place = order[ended], chars[ended] - BEGINNINGS[0] + 1
+            found[place] = beginning[ended] ^ np.uint32(_ALL_ONES)
+            there[place] = True
+        chars[:n] += (byte & 0xC0) != 0x80
+        for state in (word, beginning):
+            state[:n] = _BYTES[(state[:n] ^ byte) & 0xFF] ^ (state[:n] >> 8)
+    found[order, 0] = word ^ np.uint32(_ALL_ONES)
+    counts = there.sum(axis=1)
+    return found[there], np.cumsum(counts) - counts
 
 
 @dataclass
@@ -150,7 +207,10 @@ class Marks:
 
     def __post_init__(self):
         self.slots = np.frombuffer(self.tables, np.uint8) if self.tables else None
-        self.known: dict[str, int] = {}
+        self.words = Words()
+        self.known: set[str] = set()
+        #: The tables that each marked word of the known ones is marked in.
+        self.hits: dict[str, int] = {}
 
     def of_hashes(self, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """For each word, the tables that it or one of its beginnings is marked in, one bit each."""
@@ -160,17 +220,20 @@ class Marks:
 
     def votes(self, texts: list[str | None]) -> list[list[int]]:
         """For each text and labeller of abuse, the tables by which it finds some."""
-        words = [set(_WORD.findall(t.lower())) if t else set() for t in texts]
+        words = [set(self.words.of(t)) if t else set() for t in texts]
         if self.slots is not None:
             if len(self.known) > KEPT_WORDS:
                 self.known.clear()
+                self.hits.clear()
             fresh = list(set().union(*words).difference(self.known))
             if fresh:
-                self.known.update(zip(fresh, self.of_hashes(*hashes_of(fresh)).tolist(), strict=True))
+                hit = self.of_hashes(*hashes_of(fresh))
+                self.known.update(fresh)
+                self.hits.update((fresh[i], int(hit[i])) for i in np.flatnonzero(hit).tolist())
         return [self._votes(own) for own in words]
 
     def _votes(self, words: set[str]) -> list[int]:
-        hits = [hit for hit in map(self.known.__getitem__, words) if hit] if self.slots is not None else []
+        hits = [self.hits[w] for w in self.hits.keys() & words]
         numbers = [(bit, sum(1 for hit in hits if hit & bit)) for bit in TABLE_BITS]
         at_least = lambda least: sum(bit for bit, n in numbers if n >= least)
         return [0 if ABUSE.isdisjoint(words) else sum(TABLE_BITS), at_least(1), at_least(SEVERAL)]
@@ -200,9 +263,10 @@ def count_marks(documents: DataFrame, labels: DataFrame | None) -> Marks:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, 1 << MARK_BITS), np.int32)
         total = [0, 0]
+        found = Words()
         for batch in batches:
             for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text"), strict=True):
-                words = set(_WORD.findall((text.as_py() or "").lower()))
+                words = set(found.of(text.as_py() or ""))
                 counts[toxic, np.unique(hashes_of(list(words))[0] & ((1 << MARK_BITS) - 1))] += 1
                 total[toxic] += 1
         held = np.flatnonzero(counts.any(axis=0))
@@ -336,7 +400,7 @@ def estimate(votes: np.ndarray, given: np.ndarray, counts: np.ndarray, fault: in
 
 def text_features(text: str, marks: Marks, bit: int = 1) -> np.ndarray:
     """Hashed features of a text: of its distinct words, of its shapes in eighths and of its marked words by one table."""
-    hashes, starts = hashes_of(sorted(set(_WORD.findall(text.lower()))))
+    hashes, starts = hashes_of(sorted(set(marks.words.of(text))))
     number = np.count_nonzero(marks.of_hashes(hashes, starts) & bit) if len(starts) else 0
     return np.append(hashes % HASHED, shape_features(text) + marked_features(number)).astype(np.int32)
 
@@ -510,7 +574,7 @@ class Weights:
         """(quality, toxicity) of each text."""
         if len(self.table) > KEPT_WORDS:
             self.place, self.table = {}, self.table[:0]
-        words = [set(_WORD.findall(t.lower())) if t else set() for t in texts]
+        words = [set(self.marks.words.of(t)) if t else set() for t in texts]
         fresh = list(set().union(*words).difference(self.place))
         if fresh:
             hashes, starts = hashes_of(fresh)
