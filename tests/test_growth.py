@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,8 +16,9 @@ from tillworks.operators import latest, reports, star
 from tillworks.operators import wide as wide_ops
 from tillworks.operators.stable_keys import KeyTable, keys_not_stored, stable_ids
 from tillworks.plans import adapter
+from tillworks.plans import queries as queries_module
 from tillworks.plans.report_loads import add_load, read_report
-from tillworks.session import fresh_dir
+from tillworks.session import fresh_dir, shared_root
 from tillworks.sources import history
 from tillworks.sources import sales_store as sales_store_module
 from tillworks.sources.lake import read_lake, read_latest, write_batch
@@ -289,6 +291,65 @@ def test_lines_of_a_hot_product_are_read_by_many_tasks(spark, path, small_join_l
     assert "Exchange hashpartitioning" not in plan_of(found)
 
 
+def test_a_large_bucket_is_dealt_to_several_tasks_and_read_without_a_sort(spark, path, small_join_limits, monkeypatch):  # noqa: F811
+    lines, product, stock = adapter.placed_lines(spark, SF_DIR), adapter.product(spark, SF_DIR), adapter.inventory(spark, SF_DIR)
+    store = sales_store(spark, path, lines, wide_ops.stocked(product, stock))
+    store.put_products(product, stock)
+    monkeypatch.setattr(sales_store_module, "TASK_ROWS", -(-lines.count() // 20))  # a fifth of a bucket
+    store.add_lines(lines)
+    files = spark.table(store.lines).inputFiles()
+    assert len(files) == 20
+    buckets = [int(re.search(r"_(\d{5})\.c", file)[1]) for file in files]
+    assert sorted(buckets) == sorted([0, 1, 2, 3] * 5)
+    expected = rows_of(adapter.wide_rows(spark, SF_DIR))
+    plan = plan_of(store.wide())
+    assert "SortMergeJoin" in plan and rows_of(store.wide()) == expected
+    monkeypatch.setattr(sales_store_module, "BUCKET_BYTES", store._stored_bytes("products") / 4)
+    plan = plan_of(store.wide())
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan and "Exchange hashpartitioning" not in plan
+    assert rows_of(store.wide()) == expected
+    # Products that do not fit either are sorted, as a sort can spill.
+    monkeypatch.setattr(sales_store_module, "BUCKET_BYTES", 1)
+    assert "SortMergeJoin" in plan_of(store.wide())
+
+
+def test_lines_are_stored_without_columns_that_others_tell(spark, small_join_limits, monkeypatch):  # noqa: F811
+    made = []
+
+    class Store(SalesStore):
+        def add_lines(self, lines):
+            made.append(self)
+            super().add_lines(lines)
+
+    monkeypatch.setattr(queries_module, "SalesStore", Store)
+    working = lambda: {p.name for p in Path(f"{shared_root(spark)}/tillworks").glob("*lines-*")}
+    before = working()
+    found = queries_module.wide_sales_stored(spark, SF_DIR)
+    assert rows_of(found) == rows_of(adapter.wide_rows(spark, SF_DIR))
+    (store,) = made
+    told = {"timestamp", "timeuuid", "quarter", "ship_date", "gender", "email", "city", "state", "country"}
+    assert told <= set(found.columns) and not told & set(spark.table(store.lines).columns)
+    # The copy that the load was counted by is gone.
+    assert working() == before
+
+
+def test_null_and_repeated_keys_are_stored_as_joined(spark, path, small_join_limits):  # noqa: F811
+    item = "product_id BIGINT, n BIGINT"
+    lines = spark.createDataFrame([(1, 1), (1, 1), (2, 3), (None, 4), (9, 5)], item)
+    product = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (2, 2, "c"), (None, 3, "d"), (3, None, "e")], "id BIGINT, inventory_id BIGINT, text STRING")
+    stock = spark.createDataFrame([(1, 10), (2, 20), (2, 21), (3, 30), (None, 40)], "id BIGINT, amount INT")
+    products = wide_ops.stocked(product, stock)
+    store = SalesStore(
+        spark, path, f"sales_{uuid.uuid4().hex}", lines.schema, products.schema, 2,
+        describe=lambda rows: rows.withColumns({c: F.lit(None) for c in sales_store_module.WIDE_COLUMNS if c not in rows.columns}),
+    )
+    store.put_products(product, stock)
+    store.add_lines(lines)
+    columns = ["product_id", "inventory_id"]
+    expected = lines.join(products, "product_id")
+    assert expected.count() == 6 and rows_of(store.wide().select(columns)) == rows_of(expected.select(columns))
+
+
 def test_hot_product_reaches_its_texts_once_per_status(spark):
     lines, product, stock = adapter.placed_lines(spark, SF_DIR), adapter.product(spark, SF_DIR), adapter.inventory(spark, SF_DIR)
     found = star.dim_product_of_lines(lines, product, stock)

@@ -158,21 +158,31 @@ def order_lines(spark: SparkSession, sf_dir: str, headers: DataFrame) -> DataFra
     return lines.withColumn("ship_date", shipped()).drop("shipping_days")
 
 
-def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order goes to its buyer's nation, so the place id rides on the customer row."""
-    key = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(
-        key.alias("id"),
+        F.col("c_custkey").alias("id"),
         F.col("c_name").alias("customer_name"),
-        keyed_pick(key, "gender", GENDERS).alias("gender"),
-        email_address(
-            F.col("c_name"), keyed_int(key, "email", *EMAIL_NUMBERS), keyed_pick(key, "domain", EMAIL_DOMAINS)
-        ).alias("email"),
         F.col("c_mktsegment").alias("segment"),
         F.col("c_nationkey").cast("bigint").alias("city_id"),
     )
 
 
+def customer_columns(key: Column) -> dict[str, Column]:
+    """The columns of a customer that its key and name tell."""
+    return {
+        "gender": keyed_pick(key, "gender", GENDERS),
+        "email": email_address(
+            F.col("customer_name"), keyed_int(key, "email", *EMAIL_NUMBERS), keyed_pick(key, "domain", EMAIL_DOMAINS)
+        ),
+    }
+
+
+def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = customer_keys(spark, sf_dir).withColumns(customer_columns(F.col("id")))
+    return rows.select("id", "customer_name", "gender", "email", "segment", "city_id")
+
+
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -212,6 +222,16 @@ def placed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return described(spark, sf_dir, line_items(spark, sf_dir).join(bought(spark, sf_dir), "order_id"))
 
 
+def bought_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`placed_lines` without the columns that others tell."""
+    return line_items(spark, sf_dir).join(with_buyers(order_keys(spark, sf_dir), customer_keys(spark, sf_dir)), "order_id")
+
+
+def placed(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Rows of :func:`bought_lines` with the other columns of :func:`placed_lines`."""
+    return described(spark, sf_dir, lines).withColumns(customer_columns(F.col("customer_id")))
+
+
 def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined sales rows before the quality filter.
 

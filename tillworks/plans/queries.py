@@ -62,10 +62,13 @@ def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def wide_sales_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide rows from lines and products that were stored in buckets of the product."""
-    lines, product, inventory = adapter.placed_lines(spark, sf_dir), adapter.product(spark, sf_dir), adapter.inventory(spark, sf_dir)
+    lines, product, inventory = adapter.bought_lines(spark, sf_dir), adapter.product(spark, sf_dir), adapter.inventory(spark, sf_dir)
     path = fresh_dir(spark, "sales-store")
     products = wide_ops.stocked(product, inventory)
-    store = SalesStore(spark, path, f"sales_{uuid.uuid4().hex}", lines.schema, products.schema, STORE_BUCKETS)
+    store = SalesStore(
+        spark, path, f"sales_{uuid.uuid4().hex}", lines.schema, products.schema, STORE_BUCKETS,
+        describe=lambda rows: adapter.placed(spark, sf_dir, rows),
+    )
     store.put_products(product, inventory)
     store.add_lines(lines)
     return store.wide()
