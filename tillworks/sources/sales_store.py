@@ -16,7 +16,7 @@ KEY = "product_id"
 #: A product counts as hot in a load if its lines would make a bucket's fair share this many times over.
 HOT_SHARE = 0.5
 #: Lines of a bucket that one task sorts when they are stored.
-TASK_ROWS = 1_000_000
+TASK_ROWS = 500_000
 #: What a task sorts or hashes of a bucket in memory when lines meet products, by its size in files.
 BUCKET_BYTES = 16 << 20
 
